@@ -11,6 +11,12 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op4_simhash_dedup(spark, sf_dir):
+    from quire.llm.simhash import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL_10 = f"""
@@ -20,5 +26,5 @@ SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id IS NOT DISTINCT FROM g.keep_i
 FROM t JOIN g ON t.body = g.body
 """
 
-QUERIES = {"op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op4_simhash_dedup": op4_simhash_dedup, "op10_exact_dedup": op10_exact_dedup}
 ORACLES = {"op10_exact_dedup": SQL_10}
