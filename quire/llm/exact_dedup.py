@@ -17,12 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import batches, materialize, tune
+from quire.llm.common import batches, lower_bytes, materialize, tune
 
 WINDOW = 32  # bytes that a cut depends on: the width of the rolling hash
 SMALLEST, MEAN_BITS, LARGEST = 512, 11, 16384
@@ -75,11 +74,9 @@ def cut(lengths_from: np.ndarray, marks: np.ndarray, k: int) -> list[int]:
 
 def chunked(texts: pa.Array) -> Iterator[list[bytes]]:
     """For each text, its chunks (A-Z lowered)."""
-    low = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    offsets = np.frombuffer(low.buffers()[1], np.int64)[low.offset : low.offset + len(low) + 1]
-    base, end = int(offsets[0]), int(offsets[-1])
-    raw = (low.buffers()[2] or pa.py_buffer(b"")).slice(base, end - base).to_pybytes()
-    offsets = offsets - base
+    low = lower_bytes(texts)
+    raw = b"".join(low)
+    offsets = np.concatenate(([0], np.cumsum(np.fromiter(map(len, low), np.int64, len(low)))))
     mask = np.uint32(((1 << MEAN_BITS) - 1) << (32 - MEAN_BITS))
     marks = np.flatnonzero((rolling_hash(np.frombuffer(raw, np.uint8)) & mask) == 0) if len(raw) > WINDOW else np.empty(0, np.int64)
     for k in range(len(low)):
