@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: Bound on what one Arrow batch hands to Python; long documents make small batches.
-BATCH_ROWS, BATCH_BYTES = 2000, "8m"
+BATCH_ROWS, BATCH_BYTES = 1000, "4m"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,7 +72,7 @@ def texts_of(column: pa.Array) -> list[str]:
     return ["" if x is None else x for x in column.to_pylist()]
 
 
-def batches(it: Iterable[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def batches(it: Iterable[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of at most ``most`` bytes, or one row; Spark may cut its batches by rows alone."""
     for b in it:
         if b.num_rows == 0:

@@ -1,9 +1,9 @@
 """Exact dedup by content-defined chunk recipes.
 
 A text is cut where a rolling hash of the last 32 bytes says so; each chunk has a 128-bit
-identifier, and a text is the ordered list of its chunk identifiers (its recipe).  The chunk
-table is deduplicated once, bytes included, to verify that an identifier stands for one chunk
-only; afterwards recipes of a few bytes a chunk are compared and long texts never move again.
+identifier, and a text is the ordered list of its chunk identifiers (its recipe).  The chunks
+are deduplicated first, each with its SHA-256, to verify that an identifier stands for one chunk
+only; then recipes of 16 bytes a chunk are compared, so texts, long or short, are never moved.
 
 Defined results: null text counts as empty, an empty text is a recipe of no chunks, a null id
 sorts below all others and is kept only if its group has no other, repeated rows share one
@@ -89,9 +89,8 @@ def chunked(texts: pa.Array) -> Iterator[list[bytes]]:
 
 def _chunk_rows(it):
     for b in batches(it):
-        seen = {c for chunks in chunked(b.column("text")) for c in chunks}
-        data = list(seen)
-        yield pa.record_batch([pa.array([xxhash.xxh3_128_digest(c) for c in data], pa.binary()), pa.array(data, pa.binary())], names=["fp", "chunk"])
+        data = list({c for chunks in chunked(b.column("text")) for c in chunks})
+        yield pa.record_batch([pa.array([xxhash.xxh3_128_digest(c) for c in data], pa.binary()), pa.array([hashlib.sha256(c).digest() for c in data], pa.binary())], names=["fp", "proof"])
 
 
 def _recipe_rows(ambiguous: frozenset[bytes]):
@@ -113,7 +112,7 @@ def _recipe_rows(ambiguous: frozenset[bytes]):
 
 def ambiguous_chunks(docs: DataFrame) -> list[bytes]:
     """Identifiers that stand for more than one chunk: none, unless 128 bits collide."""
-    distinct = docs.select("text").mapInArrow(_chunk_rows, "fp binary, chunk binary").distinct()
+    distinct = docs.select("text").mapInArrow(_chunk_rows, "fp binary, proof binary").distinct()
     found = distinct.groupBy("fp").count().where("count > 1").select("fp").limit(MOST_AMBIGUOUS + 1).collect()
     if len(found) > MOST_AMBIGUOUS:
         raise RuntimeError("chunk identifiers collide too often to be trusted")
