@@ -60,7 +60,7 @@ WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FRO
      c AS (SELECT DISTINCT doc_id, pos + k AS pos FROM r CROSS JOIN (SELECT unnest([0, 1, 2]) AS k)),
      g AS (SELECT doc_id, list(pos) AS gone FROM c GROUP BY doc_id)
 SELECT d.doc_id,
-       CASE WHEN gone IS NULL THEN text ELSE list_aggregate(list_transform(list_filter(range(len(l.lines)), lambda i: NOT list_contains(gone, i)), lambda i: l.lines[i + 1]), 'string_agg', chr(10)) END AS text,
+       CASE WHEN gone IS NULL THEN text ELSE coalesce(list_aggregate(list_transform(list_filter(range(len(l.lines)), lambda i: NOT list_contains(gone, i)), lambda i: l.lines[i + 1]), 'string_agg', chr(10)), '') END AS text,
        CAST(len(l.lines) AS INTEGER) AS n_lines, CAST(coalesce(len(gone), 0) AS INTEGER) AS n_removed
 FROM documents d JOIN l ON l.doc_id = d.doc_id LEFT JOIN g ON g.doc_id = d.doc_id
 """
@@ -72,10 +72,10 @@ WITH RECURSIVE prefs AS (
          CAST('0x' || substr(md5('skip-' || s), 1, 15) AS BIGINT) % {SLOTS - 1} + 1 AS skip
   FROM (SELECT unnest(range({SHARDS})) AS s)),
 claims AS (
-  SELECT 0 AS step, off AS slot, list_value(off) AS taken FROM prefs WHERE s = 0
+  SELECT 0 AS step, off AS slot, list_transform(range({SLOTS}), lambda i: i = off) AS taken FROM prefs WHERE s = 0
   UNION ALL
-  SELECT step + 1, pick, list_append(taken, pick)
-  FROM (SELECT c.step, c.taken, list_filter(list_transform(range({SLOTS}), lambda j: (p.off + j * p.skip) % {SLOTS}), lambda x: NOT list_contains(c.taken, x))[1] AS pick
+  SELECT step + 1, pick, list_transform(taken, lambda x, i: x OR i = pick + 1)
+  FROM (SELECT c.step, c.taken, list_filter(list_transform(range({SLOTS}), lambda j: (p.off + j * p.skip) % {SLOTS}), lambda x: NOT c.taken[x + 1])[1] AS pick
         FROM claims c JOIN prefs p ON p.s = (c.step + 1) % {SHARDS} WHERE c.step + 1 < {SLOTS}))
 SELECT d.doc_id, CAST(t.slot AS INTEGER) AS slot, CAST(t.step % {SHARDS} AS INTEGER) AS shard
 FROM documents d JOIN claims t ON t.slot = CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {SLOTS}
