@@ -14,6 +14,14 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_token_store(spark, sf_dir):
+    import public_tokenizers
+
+    from quire.llm.token_store import read_store, write_store
+
+    return read_store(write_store(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2))
+
+
 def op4_simhash_dedup(spark, sf_dir):
     from quire.llm.simhash import near_duplicates
 
@@ -81,5 +89,5 @@ SELECT d.doc_id, CAST(t.slot AS INTEGER) AS slot, CAST(t.step % {SHARDS} AS INTE
 FROM documents d JOIN claims t ON t.slot = CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {SLOTS}
 """
 
-QUERIES = {f.__name__: f for f in (op4_simhash_dedup, op5_line_dedup, op6_sharding, op7_decontamination, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op3_token_store, op4_simhash_dedup, op5_line_dedup, op6_sharding, op7_decontamination, op10_exact_dedup)}
 ORACLES = {"op5_line_dedup": SQL_5, "op6_sharding": SQL_6, "op10_exact_dedup": SQL_10}
