@@ -8,13 +8,14 @@ pre-tokens not seen before go to the library; every other text goes to it whole.
 from __future__ import annotations
 
 import functools
+import os
 import re
+from array import array
 
-import numpy as np
 from tokenizers import Tokenizer
 
 #: Pre-tokens that a worker remembers.
-CACHED = 400_000
+CACHED = 300_000
 #: Letters, digits and white space among the characters split here.
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ÿĀ-ſ", "0-9²³¹¼½¾", r" \t\n\r\x0b\x0c"
 _OTHER = re.compile("[^\t\n\x0b\x0c\r\x20-\x7e\xa1-\xffĀ-ſ‐-‧]")
@@ -23,35 +24,37 @@ _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{
 
 class Encoder:
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
         self.library = Tokenizer.from_file(path)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        #: Pieces met lately, and those met in the spell before.
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, pieces: set[str]) -> None:
-        if len(self.cache) + len(pieces) > CACHED:
-            self.cache = {}
-        new = list(pieces - self.cache.keys())
+        if len(self.cache) > CACHED:
+            self.cache, self.older = {}, self.cache
+        cache, older, new = self.cache, self.older, []
+        for p in pieces:
+            if p not in cache:
+                if p in older:
+                    cache[p] = older[p]
+                else:
+                    new.append(p)
         for at in range(0, len(new), 8192):
             part = new[at : at + 8192]
-            self.cache.update(zip(part, self.whole(part), strict=True))
+            cache.update(zip(part, self.whole(part), strict=True))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        out: list[bytes] = [b""] * len(texts)
-        rest = [k for k, t in enumerate(texts) if _OTHER.search(t) or any(a in t for a in self.added)]
-        odd = set(rest)
-        for k, t in enumerate(texts):
-            if k not in odd:
-                pieces = _SPLIT.findall(t)
-                get = self.cache.get
-                found = list(map(get, pieces))
-                if None in found:
-                    self.learn(set(pieces))
-                    found = list(map(self.cache.__getitem__, pieces))
-                out[k] = b"".join(found)
+        rest = {k for k, t in enumerate(texts) if _OTHER.search(t) or any(a in t for a in self.added)}
+        split = [[] if k in rest else _SPLIT.findall(t) for k, t in enumerate(texts)]
+        self.learn(set().union(*split))
+        get = self.cache.__getitem__
+        out = [b"".join(map(get, pieces)) for pieces in split]
         for k, ids in zip(rest, self.whole([texts[k] for k in rest]), strict=True):
             out[k] = ids
         return out

@@ -29,7 +29,7 @@ from quire.llm.common import batches, materialize, texts_of, tune
 from quire.llm.subwords import encoder
 
 MAGIC = b"QWMX0001"
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 18
 BLOCK = 512  # bits between stored ranks
 NO_ID = -(1 << 63)
 
@@ -47,7 +47,7 @@ class WaveletMatrix:
         now = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         planes, zeros = [], []
         for b in range(bits - 1, -1, -1):
-            one = (now >> b & 1).view(np.uint8)[:: now.itemsize].view(bool) if now.dtype.byteorder != ">" else (now >> b & 1).astype(bool)
+            one = (now & now.dtype.type(1 << b)) != 0
             planes.append(np.packbits(one))
             low = now[~one]
             zeros.append(len(low))
