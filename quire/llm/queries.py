@@ -8,6 +8,13 @@ from quire.llm.common import read_table
 from quire.llm.sharding import SHARDS, SLOTS
 
 
+def op9_language_id(spark, sf_dir):
+    from quire.llm.lang_id import identify, train
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs.select("doc_id", "text"), train(docs))
+
+
 def op10_exact_dedup(spark, sf_dir):
     from quire.llm.exact_dedup import exact_duplicates
 
@@ -89,5 +96,5 @@ SELECT d.doc_id, CAST(t.slot AS INTEGER) AS slot, CAST(t.step % {SHARDS} AS INTE
 FROM documents d JOIN claims t ON t.slot = CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {SLOTS}
 """
 
-QUERIES = {f.__name__: f for f in (op3_token_store, op4_simhash_dedup, op5_line_dedup, op6_sharding, op7_decontamination, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op3_token_store, op4_simhash_dedup, op5_line_dedup, op6_sharding, op7_decontamination, op9_language_id, op10_exact_dedup)}
 ORACLES = {"op5_line_dedup": SQL_5, "op6_sharding": SQL_6, "op10_exact_dedup": SQL_10}
