@@ -21,6 +21,13 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark, sf_dir):
+    from quire.llm.toxicity import score_documents, train
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_documents(docs, train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op3_token_store(spark, sf_dir):
     import public_tokenizers
 
@@ -96,5 +103,5 @@ SELECT d.doc_id, CAST(t.slot AS INTEGER) AS slot, CAST(t.step % {SHARDS} AS INTE
 FROM documents d JOIN claims t ON t.slot = CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {SLOTS}
 """
 
-QUERIES = {f.__name__: f for f in (op3_token_store, op4_simhash_dedup, op5_line_dedup, op6_sharding, op7_decontamination, op9_language_id, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_token_store, op4_simhash_dedup, op5_line_dedup, op6_sharding, op7_decontamination, op9_language_id, op10_exact_dedup)}
 ORACLES = {"op5_line_dedup": SQL_5, "op6_sharding": SQL_6, "op10_exact_dedup": SQL_10}
