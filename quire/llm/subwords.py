@@ -2,7 +2,7 @@
 
 Merges never cross a pre-token, so a text's ids are those of its pre-tokens in order.  Texts of
 common characters are split here, by the pattern the vocabulary was made with, and only
-pre-tokens not seen before go to the library; every other text goes to it whole.
+pre-tokens not seen before go to the library's model; every other text goes to it whole.
 """
 
 from __future__ import annotations
@@ -15,48 +15,58 @@ from array import array
 from tokenizers import Tokenizer
 
 #: Pre-tokens that a worker remembers.
-CACHED = 300_000
+CACHED = 400_000
 #: Letters, digits and white space among the characters split here.
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ÿĀ-ſ", "0-9²³¹¼½¾", r" \t\n\r\x0b\x0c"
 _OTHER = re.compile("[^\t\n\x0b\x0c\r\x20-\x7e\xa1-\xffĀ-ſ‐-‧]")
 _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
 
+def _byte_letters() -> str:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else the next from U+0100."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return "".join(chr(b if b in plain else next(spare)) for b in range(256))
+
+
+_LETTERS = _byte_letters()
+
+
+class Pieces(dict):
+    """Ids of pre-tokens, worked out by the library's model when first asked for."""
+
+    def __init__(self, model, older: dict[str, bytes]):
+        self.model, self.older = model, older
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_LETTERS))]).tobytes()
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
         self.library = Tokenizer.from_file(path)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        #: Pieces met lately, and those met in the spell before.
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        #: Pieces met lately; it knows those met in the spell before.
+        self.pieces = Pieces(self.library.model, {})
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, pieces: set[str]) -> None:
-        if len(self.cache) > CACHED:
-            self.cache, self.older = {}, self.cache
-        cache, older, new = self.cache, self.older, []
-        for p in pieces:
-            if p not in cache:
-                if p in older:
-                    cache[p] = older[p]
-                else:
-                    new.append(p)
-        for at in range(0, len(new), 8192):
-            part = new[at : at + 8192]
-            cache.update(zip(part, self.whole(part), strict=True))
-
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        rest = {k for k, t in enumerate(texts) if _OTHER.search(t) or any(a in t for a in self.added)}
-        split = [[] if k in rest else _SPLIT.findall(t) for k, t in enumerate(texts)]
-        self.learn(set().union(*split))
-        get = self.cache.__getitem__
-        out = [b"".join(map(get, pieces)) for pieces in split]
-        for k, ids in zip(rest, self.whole([texts[k] for k in rest]), strict=True):
-            out[k] = ids
+        out = []
+        for t in texts:
+            if _OTHER.search(t) or any(a in t for a in self.added):
+                out += self.whole([t])
+                continue
+            if len(self.pieces) > CACHED:
+                self.pieces = Pieces(self.library.model, dict(self.pieces))
+            out.append(b"".join(map(self.pieces.__getitem__, _SPLIT.findall(t))))
         return out
 
 
