@@ -8,6 +8,14 @@ from quire.llm.common import read_table
 from quire.llm.sharding import SHARDS, SLOTS
 
 
+def op8_sentencepiece(spark, sf_dir):
+    import public_tokenizers
+
+    from quire.llm.pieces import encode_documents
+
+    return encode_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
 def op9_language_id(spark, sf_dir):
     from quire.llm.lang_id import identify, train
 
@@ -103,5 +111,5 @@ SELECT d.doc_id, CAST(t.slot AS INTEGER) AS slot, CAST(t.step % {SHARDS} AS INTE
 FROM documents d JOIN claims t ON t.slot = CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {SLOTS}
 """
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_token_store, op4_simhash_dedup, op5_line_dedup, op6_sharding, op7_decontamination, op9_language_id, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_token_store, op4_simhash_dedup, op5_line_dedup, op6_sharding, op7_decontamination, op8_sentencepiece, op9_language_id, op10_exact_dedup)}
 ORACLES = {"op5_line_dedup": SQL_5, "op6_sharding": SQL_6, "op10_exact_dedup": SQL_10}
