@@ -49,9 +49,9 @@ class WaveletMatrix:
         for b in range(bits - 1, -1, -1):
             one = (now & now.dtype.type(1 << b)) != 0
             planes.append(np.packbits(one))
-            low = now[~one]
+            low = now.compress(~one)
             zeros.append(len(low))
-            now = np.concatenate((low, now[one]))
+            now = np.concatenate((low, now.compress(one)))
         return cls(len(ids), planes, zeros)
 
     def ranks(self, level: int) -> np.ndarray:
@@ -120,8 +120,8 @@ class WaveletMatrix:
         for level in range(bits - 1, -1, -1):
             one = np.unpackbits(self.planes[level], count=self.n).view(bool)
             before = np.empty_like(now)
-            before[~one] = now[: self.zeros[level]]
-            before[one] = now[self.zeros[level] :] | now.dtype.type(1 << (bits - 1 - level))
+            now[self.zeros[level] :] |= now.dtype.type(1 << (bits - 1 - level))
+            before[np.concatenate((np.flatnonzero(~one), np.flatnonzero(one)))] = now
             now = before
         return now.astype(np.uint32)
 
