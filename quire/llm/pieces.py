@@ -2,9 +2,10 @@
 
 A text becomes a lattice of vocabulary pieces.  A forward Viterbi pass gives, for every place, the
 exact best score of reaching it; a backward A-star search from the end uses these as heuristics,
-so complete segmentations come out in order of score.  Pieces hold the space mark at their start
-only, so the lattice falls apart at spaces: each stretch between is solved once and remembered,
-and a text's N best combine the best of its stretches with the few that cost least to change.
+so complete segmentations come out in order of score.  Where no piece reaches across (before
+spaces, signs after letters, line ends) the lattice falls apart: each stretch between is solved
+once and remembered, and a text's N best combine the best of its stretches with the few that cost
+least to change.  A vocabulary with other pieces is searched text by text.
 
 A path's score is the sum of its pieces' scores in the model file; a character outside the
 vocabulary is spelt as byte pieces for 10 less than the least score of a piece.  Equal
@@ -40,7 +41,13 @@ MARK = "▁"
 BEST = 4
 REMEMBERED = 250_000
 UNKNOWN_COST = 10.0
-_STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+#: Signs that pieces of common vocabularies only have beside other signs or a space mark.
+_SIGNS = "!-/:-@\\[-`{-~»’“”…–—²"
+#: Stretches of a text, if no piece has a sign after another character, a space mark after anything
+#: else, or a line end beside anything.
+_STRETCH = re.compile(f"{MARK}*[{_SIGNS}]*[^{MARK}\n{_SIGNS}]+|{MARK}*[{_SIGNS}]+|{MARK}+|\n")
+_CROSSING = re.compile(f"[^{MARK}\n{_SIGNS}][{_SIGNS}]|[^{MARK}]{MARK}|\n.|.\n", re.DOTALL)
+_WHOLE = re.compile(".+", re.DOTALL)
 
 _NEVER = -1e300
 
@@ -61,8 +68,7 @@ class Vocabulary:
                 self.spelt[byte], self.raw[k] = k, bytes([byte])
             elif not (sp.is_control(k) or sp.is_unknown(k) or sp.is_unused(k)):
                 self.table[piece], self.raw[k] = (k, sp.get_score(k)), piece.replace(MARK, " ").encode()
-        if any(MARK in p.lstrip(MARK) for p in self.table):
-            raise ValueError("a piece holds a space mark after its start")
+        self.parts = _WHOLE if any(map(_CROSSING.search, self.table)) else _STRETCH
         scores = [s for _, s in self.table.values() if s > -1e8]
         self.unknown = min(scores) - UNKNOWN_COST
         self.unk_id = sp.unk_id()
@@ -75,6 +81,10 @@ class Vocabulary:
             for n in range(1, len(piece)):
                 self.table.setdefault(piece[:n], (-1, 0.0))
 
+    def stretches(self, text: str) -> list[str]:
+        """Parts of the marked text that no piece reaches across."""
+        return self.parts.findall(MARK + text.replace(" ", MARK)) if text else []
+
     def spell(self, c: str) -> tuple[int, ...]:
         return tuple(self.spelt.get(b, self.unk_id) for b in c.encode("utf-8", "replace"))
 
@@ -154,10 +164,6 @@ class Vocabulary:
         return text[1:] if text[:1] == " " else text
 
 
-def stretches(text: str) -> list[str]:
-    return _STRETCH.findall(MARK + text.replace(" ", MARK)) if text else []
-
-
 class Stretches(dict):
     """Best score, ids and gap to the second best of stretches, solved when first asked for."""
 
@@ -192,7 +198,7 @@ class Coder:
         """Best score, its ids as little-endian 32-bit numbers, and the scores of the N best."""
         if len(self.solved) > REMEMBERED:
             self.solved = Stretches(self.vocabulary, dict(self.solved))
-        parts = stretches(text)
+        parts = self.vocabulary.stretches(text)
         found = list(map(self.solved.__getitem__, parts))
         total = sum(x[0] for x in found)
         return total, b"".join([x[1] for x in found]), [x for x, _ in self._combined(parts, found, total)]
@@ -211,7 +217,7 @@ class Coder:
 
     def nbest(self, text: str) -> list[Path]:
         """The N best segmentations of a whole text: score and ids."""
-        parts = stretches(text)
+        parts = self.vocabulary.stretches(text)
         found = list(map(self.solved.__getitem__, parts))
         out = []
         for score, took in self._combined(parts, found, sum(x[0] for x in found)):
