@@ -29,6 +29,16 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op1_lm_scoring(spark, sf_dir):
+    import public_tokenizers
+
+    from quire.llm.lm_scoring import score_documents, train
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return score_documents(docs, *train(docs, tokenizer), tokenizer)
+
+
 def op2_toxicity(spark, sf_dir):
     from quire.llm.toxicity import score_documents, train
 
@@ -111,5 +121,5 @@ SELECT d.doc_id, CAST(t.slot AS INTEGER) AS slot, CAST(t.step % {SHARDS} AS INTE
 FROM documents d JOIN claims t ON t.slot = CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {SLOTS}
 """
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_token_store, op4_simhash_dedup, op5_line_dedup, op6_sharding, op7_decontamination, op8_sentencepiece, op9_language_id, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_toxicity, op3_token_store, op4_simhash_dedup, op5_line_dedup, op6_sharding, op7_decontamination, op8_sentencepiece, op9_language_id, op10_exact_dedup)}
 ORACLES = {"op5_line_dedup": SQL_5, "op6_sharding": SQL_6, "op10_exact_dedup": SQL_10}
