@@ -46,6 +46,9 @@ class Pieces(dict):
         return ids
 
 
+_ONE = re.compile(f"[{_L}]+")
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
@@ -54,6 +57,18 @@ class Encoder:
         #: Pieces met lately; it knows those met in the spell before.
         self.pieces = Pieces(self.library.model, {})
 
+    def tokens(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.pieces.model.tokenize(piece.encode().decode("latin-1").translate(_LETTERS))]).tobytes()
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word with a space before it; nothing is remembered."""
+        if _ONE.fullmatch(word):
+            return self.tokens(f" {word}")
+        text = f" {word}"
+        if _OTHER.search(text) or any(a in text for a in self.added):
+            return self.whole([text])[0]
+        return b"".join(map(self.tokens, _SPLIT.findall(text)))
+
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
