@@ -188,14 +188,16 @@ def split_boxes(x: Column, w: Column, parts: Column) -> Column:
 FOLDED = {"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-", "æ": "ae", "œ": "oe", "Æ": "AE", "Œ": "OE", "℟": " ", "℣": " "}
 
 
-@F.pandas_udf("string")
-def plain_letters(texts: pd.Series) -> pd.Series:
+def plain_letters(text: Column) -> Column:
     """Decomposed (NFKD) without accents, quotes and ligatures folded, lower case; Spark has no normaliser."""
 
-    def one(t):
-        if t is None:
-            return None
-        t = "".join(FOLDED.get(c, c) for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
-        return t.lower()
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(plain)
 
-    return texts.map(one)
+    return F.pandas_udf(run, "string")(text)
+
+
+def plain(t: str | None) -> str | None:
+    if t is None:
+        return None
+    return "".join(FOLDED.get(c, c) for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).lower()

@@ -19,7 +19,7 @@ def small(df: DataFrame, most: int = SMALL) -> DataFrame:
 def matching_any(pages: DataFrame, name: Column, patterns: DataFrame) -> DataFrame:
     """Pages whose name fits any file-name pattern (patterns: pattern)."""
     rx = small(patterns.select(glob_regex(F.col("pattern")).alias("__rx")))
-    return pages.join(rx, name.rlike(F.col("__rx")), "left_semi")
+    return pages.join(rx, F.rlike(name, F.col("__rx")), "left_semi")
 
 
 def extra_turn(pages: DataFrame, turns: DataFrame, key: str = "src") -> DataFrame:
@@ -27,11 +27,11 @@ def extra_turn(pages: DataFrame, turns: DataFrame, key: str = "src") -> DataFram
     return pages.join(small(turns.select(key, "deg")), key, "left").withColumn("deg", F.coalesce("deg", F.lit(0.0)))
 
 
-def first_band(lines: DataFrame, bands: DataFrame, mid: str, lo: str, hi: str, index: str, key: list[str]) -> DataFrame:
-    """lines with the least index of the bands that hold their centre, null without one."""
+def first_band(lines: DataFrame, bands: DataFrame, mid: str, lo: str, hi: str, index: str) -> DataFrame:
+    """lines with the least index of the bands that hold their centre, null without one; rows need no key of their own."""
     hit = (F.col(mid) >= F.col(lo)) & (F.col(mid) <= F.col(hi))
-    found = lines.join(small(bands), hit).groupBy(*key).agg(F.min(index).alias(index))
-    return lines.join(found, key, "left")
+    rows = lines.withColumn("__row", F.monotonically_increasing_id())
+    return rows.join(small(bands), hit, "left").groupBy("__row", *lines.columns).agg(F.min(index).alias(index)).drop("__row")
 
 
 def remaining(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
