@@ -61,10 +61,10 @@ def keyed(text: Column, word: str, cap: int = 2) -> Column:
     return F.when((F.size(w) >= 2) & (edits(head, F.lit(word), cap) <= cap), F.array_join(F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), " "))
 
 
-def as_hour(text: Column) -> Column:
-    """The hour that a single upper-case word is within one edit of; the first in the alphabet of several."""
+def as_hour(text: Column, names: tuple[str, ...] = HOURS) -> Column:
+    """The hour that a single upper-case word is within one edit of; the first named of several."""
     t = unconfuse(F.regexp_replace(F.trim(text), r"[.:]+$", ""))
-    known = F.array(*[F.lit(h) for h in HOURS])
+    known = F.array(*[F.lit(h) for h in names])
     hits = F.filter(known, lambda h: edits(t, h, 1) <= 1)
     return F.when(t.rlike(r"^\S+$") & (t == F.upper(t)) & (t != F.lower(t)), F.try_element_at(hits, F.lit(1)))
 

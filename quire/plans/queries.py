@@ -247,16 +247,18 @@ def preserve_fields(spark, d):
     return merge.keep_fields(fresh, table(spark, d, "labels"), "doc_id", ["quality", "toxic"])
 
 
+#: Names that the invented texts nearly hold, where the hours of a real book would stand.
+NAMES = ("NICHT", "PARA", "POUR", "THAT", "WITH")
 HOUR = "translate(rtrim(trim(t), '.:'), '0158l|', 'OISBII')"
 
 
 @query(
-    f"WITH {WORDS}, u AS (SELECT DISTINCT upper(t) AS t FROM words WHERE NOT {MARK}), c AS (SELECT t, {HOUR} AS h FROM u), "
-    f"m AS (SELECT t, (SELECT min(n) FROM unnest([{', '.join(repr(h) for h in fn.HOURS)}]) AS x(n) WHERE levenshtein(lower(h), lower(n)) <= 1) AS hour FROM c WHERE h = upper(h) AND h <> lower(h)) SELECT t, hour FROM m WHERE hour IS NOT NULL"
+    f"WITH {WORDS}, u AS (SELECT DISTINCT upper(t) AS t FROM words WHERE NOT {MARK} AND regexp_full_match(t, '[A-Za-z.:]+')), c AS (SELECT t, {HOUR} AS h FROM u), "
+    f"m AS (SELECT t, (SELECT min(n) FROM unnest([{', '.join(repr(h) for h in NAMES)}]) AS x(n) WHERE levenshtein(lower(h), lower(n)) <= 1) AS hour FROM c WHERE h = upper(h) AND h <> lower(h)) SELECT t, hour FROM m WHERE hour IS NOT NULL"
 )
 def edit_distance_hours(spark, d):
-    w = words(spark, d).where(~fn.markish(F.col("t"))).select(F.upper("t").alias("t")).distinct()
-    return w.withColumn("hour", fn.as_hour(F.col("t"))).where("hour IS NOT NULL")
+    w = words(spark, d).where(~fn.markish(F.col("t")) & F.col("t").rlike("^[A-Za-z.:]+$")).select(F.upper("t").alias("t")).distinct()
+    return w.withColumn("hour", fn.as_hour(F.col("t"), NAMES)).where("hour IS NOT NULL")
 
 
 @query(f"WITH {WORDS} SELECT src, bi, wi, translate(t, '0158l|', 'OISBII') AS letters, translate(t, 'OoIl|SB', '0011158') AS digits FROM words WHERE regexp_matches(t, '[0158l|OoISB]')")

@@ -59,7 +59,7 @@ def tsv_lines(words: DataFrame) -> DataFrame:
 
 def read_markup(spark: SparkSession, path: str) -> DataFrame:
     """src, line_no, line of every markup page."""
-    pages = spark.read.option("wholetext", True).text(path).select(stem(F.input_file_name()).alias("src"), F.col("value"))
+    pages = spark.read.text(path, wholetext=True).select(stem(F.input_file_name()).alias("src"), F.col("value"))
     return pages.select("src", F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n")).alias("line_no", "line"))
 
 
