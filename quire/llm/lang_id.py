@@ -87,7 +87,7 @@ class Model:
         width = len(langs)
 
         def logs(counts: list[np.ndarray], total: np.ndarray) -> np.ndarray:
-            c = np.array(counts, np.float64).reshape(-1, width)
+            c = np.array(counts, np.float64).reshape(len(counts), width)
             return np.log10((c + SMOOTH) / (total + SMOOTH * (len(c) + 1))).astype(np.float32)
 
         self.word_rows = logs(list(words.values()), word_total)

@@ -50,10 +50,12 @@ _ONE = re.compile(f"[{_L}]+")
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
+        """plain: the strings of special tokens are ordinary text."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
         self.library = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.library.encode_special_tokens = plain
+        self.added = [] if plain else [t.content for t in self.library.get_added_tokens_decoder().values()]
         #: Pieces met lately; it knows those met in the spell before.
         self.pieces = Pieces(self.library.model, {})
 
@@ -86,6 +88,6 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """One encoder for each vocabulary in a worker process."""
-    return Encoder(path)
+    return Encoder(path, plain)
