@@ -15,7 +15,7 @@ from array import array
 from tokenizers import Tokenizer
 
 #: Pre-tokens that a worker remembers.
-CACHED = 300_000
+CACHED = 200_000
 #: Letters, digits and white space among the characters split here.
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ÿĀ-ſ", "0-9²³¹¼½¾", r" \t\n\r\x0b\x0c"
 _OTHER = re.compile("[^\t\n\x0b\x0c\r\x20-\x7e\xa1-\xffĀ-ſ‐-‧]")

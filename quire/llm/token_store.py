@@ -188,7 +188,8 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc
 
 
 def _read(it):
-    for b in it:
+    encoder.cache_clear()  # a worker that wrote shards before needs its pre-tokens no more
+    for b in batches(it):
         for start, blob in zip(b.column("start").to_pylist(), b.column("blob").to_pylist(), strict=True):
             docs, ends, w = unpack(blob)
             raw = memoryview(w.decode().astype("<u4").tobytes())
