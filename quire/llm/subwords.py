@@ -15,7 +15,7 @@ from array import array
 from tokenizers import Tokenizer
 
 #: Pre-tokens that a worker remembers.
-CACHED = 200_000
+CACHED = 600_000
 #: Letters, digits and white space among the characters split here.
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ÿĀ-ſ", "0-9²³¹¼½¾", r" \t\n\r\x0b\x0c"
 _OTHER = re.compile("[^\t\n\x0b\x0c\r\x20-\x7e\xa1-\xffĀ-ſ‐-‧]")
@@ -32,6 +32,12 @@ def _byte_letters() -> str:
 _LETTERS = _byte_letters()
 
 
+def in_model(model, piece: str) -> bytes:
+    """Ids of one pre-token."""
+    spelt = f"Ġ{piece[1:]}" if piece[0] == " " and piece.isascii() and piece[1:].isalnum() else piece.encode().decode("latin-1").translate(_LETTERS)
+    return array("I", [t.id for t in model.tokenize(spelt)]).tobytes()
+
+
 class Pieces(dict):
     """Ids of pre-tokens, worked out by the library's model when first asked for."""
 
@@ -41,7 +47,7 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_LETTERS))]).tobytes()
+            ids = in_model(self.model, piece)
         self[piece] = ids
         return ids
 
@@ -60,7 +66,7 @@ class Encoder:
         self.pieces = Pieces(self.library.model, {})
 
     def tokens(self, piece: str) -> bytes:
-        return array("I", [t.id for t in self.pieces.model.tokenize(piece.encode().decode("latin-1").translate(_LETTERS))]).tobytes()
+        return in_model(self.pieces.model, piece)
 
     def word(self, word: str) -> bytes:
         """Ids of a word with a space before it; nothing is remembered."""
