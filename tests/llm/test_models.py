@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 
 from quire.llm import lang_id, lm_scoring, queries, toxicity
@@ -38,6 +39,16 @@ def check_base(rows, got):
         assert r.score < 0 and math.isfinite(r.score)
 
 
+def test_words_are_split_as_promised():
+    rng = random.Random(4)
+    texts = [None, "", "  ", "A b"] + ["".join(rng.choice("aBéÉ \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u2003\u3000日") for _ in range(rng.randint(0, 12))) for _ in range(800)]
+    for part in (pa.array(texts), pa.array(texts).slice(5, 300), pa.array(texts * 200).slice(60_001, 70_000)):
+        distinct, numbers, per = lm_scoring.split_words(part)
+        at = np.cumsum(per)
+        assert [[distinct[k].decode() for k in numbers[e - n : e]] for e, n in zip(at.tolist(), per.tolist(), strict=True)] == [words(t) for t in part.to_pylist()]
+        assert len(set(distinct)) == len(distinct)
+
+
 def test_lm_scores(docs):
     got = scored(docs)
     check_base([(r.doc_id, r.text) for r in docs.collect()], got)
@@ -56,7 +67,7 @@ def test_lm_is_normalised(docs):
     """Continuations of a context add up to one: over ids inside a word and over ids after a space."""
     counted, stats, net = lm_scoring.train(docs.select("doc_id", "text"), BPE)
     ids = lm_scoring.ids_for(BPE)
-    c = lm_scoring.coded([b"the and attion"], ids)
+    c = lm_scoring.coded(pa.array(["the and attion"]), ids)
     size = ids.end + 1
     opening = stats.kind < lm_scoring.OPENING
     s = lm_scoring.Scorer(stats, net, ids)
