@@ -34,6 +34,7 @@ def test_ids_are_the_librarys():
     rng = random.Random(2)
     texts = ["a  b\t\n c's I'll 12½ x—y “q”  z <|endoftext|> hi", "", "  ", "日本 語", "a\x1cb", "ſ İı ŉ", "é̀", "a b", "don't  \n\n", "'S 's"]
     texts += ["".join(rng.choice("abé' .,\n\t1½²ſ—“-_'s’日\x85\xa0") for _ in range(30)) for _ in range(400)]
+    texts += [" ".join("".join(rng.choice("abcé12½.,;:!?'’_-\n") for _ in range(rng.randint(1, 5))) for _ in range(8)) for _ in range(600)] + ["a b ", " a b", "a\n b", "a \n", "x.\ny z. 's 'll"]
     assert [list(array("I", x)) for x in own.ids(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     for w in ("the", "l'âme", "x,y", "日本", "½", "a_b"):
         assert list(array("I", own.word(w))) == library.encode(f" {w}", add_special_tokens=False).ids
