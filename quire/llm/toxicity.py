@@ -8,6 +8,7 @@ lookup a letter.  A hit that stands in quotation marks or near a word of reporti
 from open abuse, and a misspelled hit apart from an exact one; a logistic model over these sums
 gives the score.
 
+Copies of a text are one text to the lexicon, and count with their number in the weights.
 Learning reads at most ``SAMPLE`` labelled rows, those of the least hash of their id; everything
 else covers all rows and whole texts.
 
@@ -231,7 +232,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[dic
     usable = labels.where(F.col("toxic").isNotNull() & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
     # At most ``sample`` rows of 12 bytes: safe to broadcast at any size of the corpus.
-    lessons = materialize(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text"), "lessons")
+    lessons = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+    # Copies are merged: support, like contexts, counts distinct texts.
+    lessons = materialize(lessons.groupBy("toxic", "text").agg(F.count(F.lit(1)).alias("copies")), "lessons")
     counted = materialize(lessons.mapInArrow(_count, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "words")
     n = {r.toxic: r.n for r in lessons.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = n.get(1, 0), sum(v for k, v in n.items() if k != 1)
@@ -252,10 +255,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[dic
         s = Scorer(*shared.value, PRIOR)
         for b in batches(it):
             x = s.rows(texts_of(b.column("text")))
-            yield pa.record_batch([b.column("toxic"), pa.array(x, pa.list_(pa.float64()))], names=["toxic", "x"])
+            yield pa.record_batch([b.column("toxic"), b.column("copies"), pa.array(x, pa.list_(pa.float64()))], names=["toxic", "copies", "x"])
 
     # Alike rows count once with their number; few combinations differ, and the sample bounds them.
-    summed = lessons.mapInArrow(rows, "toxic int, x array<double>").groupBy("toxic", "x").agg(F.count(F.lit(1)).alias("n")).collect()
+    summed = lessons.mapInArrow(rows, "toxic int, copies long, x array<double>").groupBy("toxic", "x").agg(F.sum("copies").alias("n")).collect()
     if not bad:
         return lexicon, exempt, PRIOR
     x = np.array([r.x for r in summed for _ in range(r.n)], float).reshape(-1, 4)
