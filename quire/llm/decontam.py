@@ -134,29 +134,32 @@ def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text
         yield tuple((r.i, w) for r in block if (w := tuple(words_of(r.t))))
 
 
-def scan(docs: DataFrame, block: tuple[Item, ...], id_col: str, text_col: str, percent: int = BUDGET) -> DataFrame:
-    """doc_id, hits (array of item_id, edits, end_word), one row for each document."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+HITS = "array<struct<item_id: bigint, edits: int, end_word: bigint>>"
+
+
+def scan(rows: DataFrame, block: tuple[Item, ...], percent: int) -> DataFrame:
+    """``rows`` (doc_id, text, hits), each with the block's hits appended to its own."""
+    shared = rows.sparkSession.sparkContext.broadcast(block)
+    names = ("item_id", "edits", "end_word")
     hit = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("end_word", pa.int64())]))
 
     def run(it):
         m = _matcher(shared.value, percent)
         for b in batches(it):
-            found = [[dict(zip(("item_id", "edits", "end_word"), h, strict=True)) for h in m.hits(t)] for t in texts_of(b.column("text"))]
-            yield pa.record_batch([b.column("doc_id"), pa.array(found, hit)], names=["doc_id", "hits"])
+            found = [[*own, *(dict(zip(names, h, strict=True)) for h in m.hits(t))] for own, t in zip(b.column("hits").to_pylist(), texts_of(b.column("text")), strict=True)]
+            yield pa.record_batch([b.column("doc_id"), b.column("text"), pa.array(found, hit)], names=["doc_id", "text", "hits"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, hits array<struct<item_id: bigint, edits: int, end_word: bigint>>")
+    return rows.mapInArrow(run, rows.schema)
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = BUDGET, most: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, hits: every benchmark item found in each document.  With several blocks, rows of one id are merged."""
+    """doc_id, hits: every benchmark item found in each row of ``docs``; further blocks go over the same rows."""
     tune(docs.sparkSession)
-    parts = [scan(docs, block, id_col, text_col, percent) for block in item_blocks(items, most=most)]
-    if len(parts) == 1:
-        return parts[0]
-    every = functools.reduce(DataFrame.union, parts)
-    return every.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.array().cast(HITS).alias("hits"))
+    n = 0
+    for block in item_blocks(items, most=most):
+        rows, n = scan(rows, block, percent), n + 1
+    return rows.select("doc_id", (F.array_sort(F.array_distinct("hits")) if n > 1 else F.col("hits")).alias("hits"))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, text_col: str = "text", percent: int = BUDGET, most: int = BLOCK_WORDS) -> DataFrame:
