@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 EXCERPT = 12
+PART = 64  # words that an n-gram of the stream holds at most
 
 
 def bag_difference(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -38,12 +39,17 @@ def occurrences(heads: DataFrame, stream: DataFrame, group: str = "src") -> Data
     """heads: group, head, words (array); stream: group, pos, word.  group, head, pos of every place a heading stands at.
 
     Headings meet the stream's n-grams of their own lengths in an equi-join, not a scan of every place.
+    Long ones are cut into parts of ``PART`` words, which must all stand there one after another.
     """
-    sizes = heads.select(group, F.size("words").alias("__n")).where("__n > 0").distinct()
+    cuts = F.transform(F.sequence(F.lit(0), F.size("words") - 1, F.lit(PART)), lambda at: F.slice("words", at + 1, F.lit(PART)))
+    parts = heads.where(F.size("words") > 0).select(group, "head", (F.floor((F.size("words") - 1) / PART) + 1).alias("__parts"), F.posexplode(cuts).alias("__part", "__words"))
+    sizes = parts.select(group, F.size("__words").alias("__n")).distinct()
     w = Window.partitionBy(group).orderBy("pos")
-    longest = F.array_agg("word").over(w.rowsBetween(0, 63))
+    longest = F.array_agg("word").over(w.rowsBetween(0, PART - 1))
     grams = stream.select(group, "pos", longest.alias("__next")).join(sizes, group).where(F.size("__next") >= F.col("__n")).select(group, "pos", F.array_join(F.slice("__next", 1, F.col("__n")), "\u001f").alias("__key"))
-    return heads.where(F.size("words") > 0).select(group, "head", F.array_join("words", "\u001f").alias("__key")).join(grams, [group, "__key"]).select(group, "head", "pos")
+    met = parts.withColumn("__key", F.array_join("__words", "\u001f")).join(grams, [group, "__key"]).select(group, "head", "__parts", "__part", (F.col("pos") - F.col("__part") * PART).alias("pos"))
+    whole = met.groupBy(group, "head", "__parts", "pos").agg(F.countDistinct("__part").alias("__met")).where("__met = __parts")
+    return whole.select(group, "head", F.col("pos").cast(stream.schema["pos"].dataType).alias("pos"))
 
 
 def kept_in_order(pairs: list[tuple[int, int]]) -> set[int]:
