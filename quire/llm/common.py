@@ -19,6 +19,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: Bound on what one Arrow batch hands to Python; long documents make small batches.
 BATCH_ROWS, BATCH_BYTES = 1000, "4m"
+#: Parts that the rows of one group are dealt to at most.
+SALTS = 1024
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,9 +34,11 @@ def tune(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder of our own only where none is set, as in tests."""
+    """The cluster's shared folder; a folder of our own only in local mode, where nothing else is set, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="quire-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -48,6 +52,28 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def new_name(name: str, taken: list[str]) -> str:
+    """The name, with underscores after it until no column has it."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
+def salt(*by: str) -> Column:
+    """A number below ``SALTS`` that deals the rows of a group by other columns; the same in every attempt of a task."""
+    return F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")
+
+
+def salted_groups(rows: DataFrame, keys: list[str], salt_name: str, first: list[Column], then: list[Column]) -> DataFrame:
+    """keys, ``salt_name`` and the aggregates ``then`` of ``first``: one row for each part of a group that ``rows`` holds.
+
+    A group is summed up by parts and joined back by parts, so no task gets all rows of one group,
+    and small groups cost one row.
+    """
+    whole = rows.groupBy(*keys, salt_name).agg(*first).groupBy(*keys).agg(*then, F.collect_list(salt_name).alias(salt_name))
+    return whole.withColumn(salt_name, F.explode(salt_name))
+
+
 def crc_mod(id_col: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n."""
     return F.crc32(id_col.cast("string").cast("binary")) % F.lit(n)

@@ -21,11 +21,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import batches, lower_bytes, materialize, tune
+from quire.llm.common import batches, lower_bytes, materialize, salt, salted_groups, tune
 
 WINDOW = 32  # bytes that a cut depends on: the width of the rolling hash
 SMALLEST, MEAN_BITS, LARGEST = 512, 11, 16384
-#: More identifiers than this standing for two chunks means that the hash is broken.
+#: Identifiers that stand for several chunks are told to every task up to so many; beyond, every chunk goes by its SHA-256.
 MOST_AMBIGUOUS = 10_000
 
 
@@ -93,7 +93,9 @@ def _chunk_rows(it):
         yield pa.record_batch([pa.array([xxhash.xxh3_128_digest(c) for c in data], pa.binary()), pa.array([hashlib.sha256(c).digest() for c in data], pa.binary())], names=["fp", "proof"])
 
 
-def _recipe_rows(ambiguous: frozenset[bytes]):
+def _recipe_rows(ambiguous: frozenset[bytes] | None):
+    """``ambiguous``: identifiers that stand for several chunks; None: any may."""
+
     def run(it):
         for b in batches(it):
             recipes, shas = [], []
@@ -102,7 +104,7 @@ def _recipe_rows(ambiguous: frozenset[bytes]):
                 for c in chunks:
                     sha.update(c)
                     fp = xxhash.xxh3_128_digest(c)
-                    ids.append(hashlib.sha256(c).digest() if fp in ambiguous else fp)
+                    ids.append(hashlib.sha256(c).digest() if ambiguous is None or fp in ambiguous else fp)
                 shas.append(sha.hexdigest())
                 recipes.append(b"".join(ids))
             yield pa.record_batch([b.column("doc_id"), pa.array(shas, pa.string()), pa.array(recipes, pa.binary())], names=["doc_id", "text_sha256", "recipe"])
@@ -110,13 +112,11 @@ def _recipe_rows(ambiguous: frozenset[bytes]):
     return run
 
 
-def ambiguous_chunks(docs: DataFrame) -> list[bytes]:
-    """Identifiers that stand for more than one chunk: none, unless 128 bits collide."""
+def ambiguous_chunks(docs: DataFrame, most: int = MOST_AMBIGUOUS) -> frozenset[bytes] | None:
+    """Identifiers that stand for more than one chunk: none, unless 128 bits collide; None if over ``most`` do."""
     distinct = docs.select("text").mapInArrow(_chunk_rows, "fp binary, proof binary").distinct()
-    found = distinct.groupBy("fp").count().where("count > 1").select("fp").limit(MOST_AMBIGUOUS + 1).collect()
-    if len(found) > MOST_AMBIGUOUS:
-        raise RuntimeError("chunk identifiers collide too often to be trusted")
-    return [bytes(r.fp) for r in found]
+    found = distinct.groupBy("fp").count().where("count > 1").select("fp").limit(most + 1).collect()
+    return None if len(found) > most else frozenset(bytes(r.fp) for r in found)
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,9 +124,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     tune(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    verified = frozenset(ambiguous_chunks(docs))
-    recipes = materialize(docs.mapInArrow(_recipe_rows(verified), f"doc_id {kind}, text_sha256 string, recipe binary"), "recipes")
-    # A digest of equal recipes that differ in text can't exist once chunks are verified; the text's own digest checks it again.
-    key = ["recipe", "text_sha256"]
-    groups = recipes.groupBy(*key).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return recipes.join(groups, key).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    recipes = materialize(docs.mapInArrow(_recipe_rows(ambiguous_chunks(docs)), f"doc_id {kind}, text_sha256 string, recipe binary"), "recipes")
+    # Equal recipes are equal texts once identifiers are verified, so the recipe alone is the key; copies of one text are dealt out by id.
+    dealt = recipes.withColumn("s", salt("doc_id"))
+    groups = salted_groups(dealt, ["recipe"], "s", [F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")], [F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")])
+    return dealt.join(groups, ["recipe", "s"]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")

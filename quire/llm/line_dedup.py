@@ -9,7 +9,8 @@ windows of blank lines alone are left alone; an occurrence that overlaps the fir
 same document stays, so a run of one repeated line keeps a window's worth and drops the rest; rows
 with a null id neither lose lines nor count as occurrences; repeated rows count as one occurrence
 and share the verdict; a document whose lines all go keeps its row, with empty text; an empty
-table gives no rows; other columns pass through, whatever their names.
+table gives no rows; other columns pass through, whatever their names; names of the report that
+the table has already get underscores until they are new.
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
+from quire.llm.common import materialize, new_name
 
 WINDOW = 3
+#: A window that holds over so small a share of all windows is looked up apart; fewer than this many can.
+HEAVY = 10_000
 
 
 def lines_of(text: Column) -> Column:
@@ -44,20 +47,28 @@ def windows(docs: DataFrame, id_col: str, text_col: str, window: int = WINDOW) -
 def later_positions(docs: DataFrame, id_col: str, text_col: str, window: int = WINDOW) -> DataFrame:
     """__id, __covered: the line positions (from 0) that later occurrences of repeated windows cover."""
     found = materialize(windows(docs, id_col, text_col, window), "windows")
-    repeated = found.groupBy("__a", "__b").agg(F.count(F.lit(1)).alias("__n"), F.min(F.struct("__id", "__pos")).alias("__first")).where("__n > 1").drop("__n")
+    repeated = materialize(found.groupBy("__a", "__b").agg(F.count(F.lit(1)).alias("__n"), F.min(F.struct("__id", "__pos")).alias("__first")).where("__n > 1"), "repeated")
+    floor = F.lit(found.count() / HEAVY)
+    # Fewer than HEAVY windows of 40 bytes are above the floor: they are broadcast, so no task gets all places of one.
+    heavy = repeated.where(F.col("__n") > floor).drop("__n")
+    light = repeated.where(F.col("__n") <= floor).drop("__n")
     own = (F.col("__id") == F.col("__first.__id")) & (F.col("__pos") < F.col("__first.__pos") + window)
-    later = found.join(repeated, ["__a", "__b"]).where(~own)
+    rest = found.join(F.broadcast(heavy.select("__a", "__b")), ["__a", "__b"], "left_anti")
+    later = found.join(F.broadcast(heavy), ["__a", "__b"]).unionByName(rest.join(light, ["__a", "__b"])).where(~own)
     starts = later.groupBy("__id").agg(F.collect_set("__pos").alias("__starts"))
     return starts.select("__id", F.array_distinct(F.flatten(F.transform("__starts", lambda p: F.sequence(p, p + window - 1)))).alias("__covered"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, report: bool = False) -> DataFrame:
     """``docs`` with the covered lines taken out of the text; ``report`` appends n_lines and n_removed."""
-    covered = later_positions(docs, id_col, text_col, window)
-    joined = docs.join(covered.hint("shuffle_hash"), docs[id_col] == covered["__id"], "left")
-    lines = lines_of(docs[text_col])
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    covered = later_positions(plain, "id", "text", window)
+    # The table's own columns travel as one struct, so their names meet no other.
+    joined = docs.select(F.struct("*").alias("row")).join(covered.hint("shuffle_hash"), F.col("row")[id_col] == F.col("__id"), "left")
+    own = F.col("row")[text_col]
+    lines = lines_of(own)
     keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__covered"))
-    text = F.when(F.col("__covered").isNull(), docs[text_col]).otherwise(F.array_join(F.transform(keep, lambda i: F.element_at(lines, i + 1)), "\n"))
-    columns = [text.alias(c) if c == text_col else docs[c] for c in docs.columns]
-    counts = [F.size(lines).alias("n_lines"), F.coalesce(F.size("__covered"), F.lit(0)).alias("n_removed")] if report else []
-    return joined.select(*columns, *counts)
+    text = F.when(F.col("__covered").isNull(), own).otherwise(F.array_join(F.transform(keep, lambda i: F.element_at(lines, i + 1)), "\n"))
+    columns = [(text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns]
+    counts = {"n_lines": F.size(lines), "n_removed": F.coalesce(F.size("__covered"), F.lit(0))} if report else {}
+    return joined.select(*columns, *[value.alias(new_name(name, docs.columns)) for name, value in counts.items()])

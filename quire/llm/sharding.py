@@ -7,7 +7,8 @@ a shard moves little besides its own rows.  The table depends on parameters alon
 by ``MOST_SLOTS``, so it is broadcast whatever the size of the data.
 
 Defined results: a null key counts as empty text, repeated keys share their shard, an empty table
-gives no rows, other columns pass through.
+gives no rows, other columns pass through whatever their names; names of the two new columns that
+the table has already get underscores until they are new.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.common import new_name
+
 SHARDS, SLOTS, MOST_SLOTS = 64, 6571, 1_000_003
 
 
@@ -50,6 +53,9 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 def assign_shards(df: DataFrame, key_col: str = "doc_id", shards: int = SHARDS, slots: int = SLOTS, slot_name: str = "slot", shard_name: str = "shard") -> DataFrame:
     """``df`` with two more columns: its slot and its shard."""
     table = lookup_table(shards, slots)
-    placed = df.sparkSession.sql(f"SELECT posexplode(array({','.join(map(str, table))})) AS (__slot, __shard)")
-    at = slot_of(df[key_col], slots)
-    return df.join(F.broadcast(placed), at == placed["__slot"]).select(*[df[c] for c in df.columns], F.col("__slot").alias(slot_name), F.col("__shard").alias(shard_name))
+    placed = df.sparkSession.sql(f"SELECT posexplode(array({','.join(map(str, table))})) AS (slot, shard)")
+    # The table's own columns travel as one struct, so their names meet no other.
+    rows = df.select(F.struct("*").alias("row"), slot_of(df[key_col], slots).alias("slot"))
+    slot_name = new_name(slot_name, df.columns)
+    shard_name = new_name(shard_name, [*df.columns, slot_name])
+    return rows.join(F.broadcast(placed), "slot").select(*[F.col("row")[c].alias(c) for c in df.columns], F.col("slot").alias(slot_name), F.col("shard").alias(shard_name))

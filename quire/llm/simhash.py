@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import batches, lower_bytes, materialize, tune
+from quire.llm.common import batches, lower_bytes, materialize, salt, salted_groups, tune
 from quire.llm.components import connected_components
 
 SEED, WIDTH, RADIUS = 42, 3, 3
@@ -119,9 +119,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, fingerprint (16 hex digits), component_id (the least id reachable over links)."""
     marked = materialize(fingerprints(docs, id_col, text_col, width), "fingerprints")
     # The least id stands for all documents of a fingerprint.
-    merged = materialize(marked.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")), "merged")
-    pairs = links(merged.select("fp"), radius)
-    by_rep = pairs.join(merged.withColumnsRenamed({"fp": "a", "rep": "ra"}), "a").join(merged.withColumnsRenamed({"fp": "b", "rep": "rb"}), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    dealt = marked.withColumn("s", salt("doc_id"))
+    merged = materialize(salted_groups(dealt.where("doc_id IS NOT NULL"), ["fp"], "s", [F.min("doc_id").alias("rep")], [F.min("rep").alias("rep")]), "merged")
+    reps = merged.select("fp", "rep").distinct()
+    pairs = links(reps.select("fp"), radius)
+    by_rep = pairs.join(reps.withColumnsRenamed({"fp": "a", "rep": "ra"}), "a").join(reps.withColumnsRenamed({"fp": "b", "rep": "rb"}), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     parts = connected_components(by_rep)
-    named = merged.join(parts, merged.rep == parts.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return marked.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    # Every part of a fingerprint's documents meets its own row, so copies are not one task's work.
+    named = merged.join(parts, merged.rep == parts.node, "left").select("fp", "s", F.coalesce("component", "rep").alias("component_id"))
+    return dealt.join(named, ["fp", "s"], "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

@@ -1,7 +1,10 @@
+import pathlib
 import re
 
 import pytest
 
+from quire import llm
+
 SF = "/root/testdata/sf0.001"
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -30,10 +33,12 @@ def none(spark):
 
 @pytest.fixture
 def clashing(odd):
-    """Extra columns named like those that operators use within."""
+    """Extra columns named like those that operators use within: every short or underscored name in quotes in their code."""
     from pyspark.sql import functions as F
 
-    return odd.select("*", *[F.lit(1).alias(c) for c in ("fp", "key", "v", "recipe", "component_id", "held_out", "hits", "slot", "rep", "part", "blob", "n_lines")])
+    here = pathlib.Path(llm.__file__).parent
+    inner = {m for p in here.glob("*.py") for m in re.findall(r'"(__[a-z_]+|[a-z][a-z_0-9]{0,12})"', p.read_text())}
+    return odd.select("*", *[F.lit(1).alias(c) for c in sorted(inner - {c.lower() for c in odd.columns})])
 
 
 @pytest.fixture(scope="session")

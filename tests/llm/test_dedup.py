@@ -63,6 +63,18 @@ def test_chunks_are_the_text_and_follow_content():
     assert all(exact_dedup.SMALLEST <= len(x) <= exact_dedup.LARGEST for x in a[:-1])
 
 
+def test_all_identifiers_ambiguous(monkeypatch, odd):
+    pairs = [(r.doc_id, r.text) for r in odd.collect()]
+    monkeypatch.setattr(exact_dedup, "ambiguous_chunks", lambda docs: None)
+    assert rows(exact_dedup.exact_duplicates(odd), *COLS) == exact(pairs)
+
+
+def test_recipes_stand_for_texts(docs):
+    recipes = docs.select("doc_id", "text").mapInArrow(exact_dedup._recipe_rows(frozenset()), "doc_id long, text_sha256 string, recipe binary")
+    both = {(r.text_sha256, bytes(r.recipe)) for r in recipes.collect()}
+    assert len({a for a, _ in both}) == len({b for _, b in both}) == len(both) > 1
+
+
 def test_ambiguous_identifiers_fall_back(monkeypatch):
     import pyarrow as pa
 
@@ -160,6 +172,17 @@ def test_line_dedup(spark, odd, none, clashing):
         out = line_dedup.dedup_lines(d)
         assert out.columns == d.columns and Counter(map(repr, out.collect())) == Counter(map(repr, d.collect()))
     assert line_dedup.dedup_lines(none).count() == 0
+    assert line_dedup.dedup_lines(clashing, report=True).columns == [*clashing.columns, "n_lines_", "n_removed_"]
+
+
+def test_line_dedup_heavy_windows(spark, monkeypatch):
+    """Windows looked up apart give the same result as all others."""
+    rng = random.Random(12)
+    rows_ = [(k, "\n".join(rng.choice("abcdef") for _ in range(rng.randint(0, 12)))) for k in range(60)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string")
+    for share in (10_000, 40, 0.5):
+        monkeypatch.setattr(line_dedup, "HEAVY", share)
+        assert {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()} == slow_lines(rows_)
 
 
 def test_line_dedup_is_native(docs):
@@ -175,4 +198,6 @@ def test_sharding(odd, none, clashing):
     out = sharding.assign_shards(odd)
     assert out.columns == [*odd.columns, "slot", "shard"] and out.count() == odd.count()
     assert len({(r.slot, r.shard) for r in out.where("doc_id = 4").collect()}) == 1
-    assert sharding.assign_shards(clashing, slot_name="s2").count() == odd.count() and sharding.assign_shards(none).count() == 0
+    clash = sharding.assign_shards(clashing)
+    assert clash.columns == [*clashing.columns, "slot_", "shard_"] and clash.count() == odd.count() and sharding.assign_shards(none).count() == 0
+    assert rows(clash, "doc_id", "slot_", "shard_") == rows(out, "doc_id", "slot", "shard")
