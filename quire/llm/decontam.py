@@ -6,12 +6,13 @@ then found unchanged; an Aho-Corasick automaton finds all pieces of all items in
 document, and Myers' bit-parallel distance verifies the stretch around each hit.
 
 Items are taken in blocks whose words are bounded by ``BLOCK_WORDS``; a block travels with the
-tasks, further blocks are further passes, so any benchmark works and none is broadcast whole
-unless it is small.
+tasks, further blocks are further passes over the rows that the pass before has written, so any
+benchmark works and the driver holds one block of it at a time.
 
-Defined results: null texts count as empty; an item without words, or with a null text, matches
-nothing; repeated items are one item each and repeated documents share their verdict; an empty
-benchmark leaves every document clean; an empty table gives no rows.
+Defined results: null texts count as empty; an item without words, with a null text or with a null
+id matches nothing; item ids of any type that sorts are returned as they are; repeated items are one
+item each and repeated documents share their verdict; an empty benchmark leaves every document
+clean; an empty table gives no rows; other columns are ignored, or pass through where rows are kept.
 """
 
 from __future__ import annotations
@@ -24,14 +25,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from quire.llm.common import batches, texts_of, tune
+from quire.llm.common import batches, materialize, texts_of, tune
 
 BUDGET = 20  # edits in a hundred words
 BLOCK_WORDS = 2_000_000
 _WORD = re.compile(r"\w+")
 
-Item = tuple[int, tuple[str, ...]]
+Item = tuple[object, tuple[str, ...]]
 
 
 def words_of(text: str) -> list[str]:
@@ -134,14 +136,11 @@ def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text
         yield tuple((r.i, w) for r in block if (w := tuple(words_of(r.t))))
 
 
-HITS = "array<struct<item_id: bigint, edits: int, end_word: bigint>>"
-
-
 def scan(rows: DataFrame, block: tuple[Item, ...], percent: int) -> DataFrame:
     """``rows`` (doc_id, text, hits), each with the block's hits appended to its own."""
     shared = rows.sparkSession.sparkContext.broadcast(block)
     names = ("item_id", "edits", "end_word")
-    hit = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("end_word", pa.int64())]))
+    hit = to_arrow_type(rows.schema["hits"].dataType)
 
     def run(it):
         m = _matcher(shared.value, percent)
@@ -155,17 +154,19 @@ def scan(rows: DataFrame, block: tuple[Item, ...], percent: int) -> DataFrame:
 def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = BUDGET, most: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, hits: every benchmark item found in each row of ``docs``; further blocks go over the same rows."""
     tune(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.array().cast(HITS).alias("hits"))
+    kind = items.schema["item_id"].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.array().cast(f"array<struct<item_id: {kind}, edits: int, end_word: bigint>>").alias("hits"))
     n = 0
     for block in item_blocks(items, most=most):
-        rows, n = scan(rows, block, percent), n + 1
+        rows, n = scan(materialize(rows, "scanned") if n else rows, block, percent), n + 1
     return rows.select("doc_id", (F.array_sort(F.array_distinct("hits")) if n > 1 else F.col("hits")).alias("hits"))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, text_col: str = "text", percent: int = BUDGET, most: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs``, all columns, in whose text no item is found."""
     tune(docs.sparkSession)
-    for block in item_blocks(items, most=most):
+    for n, block in enumerate(item_blocks(items, most=most)):
+        docs = materialize(docs, "scanned") if n else docs
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(it, shared=shared):

@@ -194,14 +194,19 @@ class Coder:
             self.ranked[s] = self.vocabulary.best(s, self.best)
         return self.ranked[s]
 
-    def encode(self, text: str) -> tuple[float, bytes, list[float]]:
-        """Best score, its ids as little-endian 32-bit numbers, and the scores of the N best."""
+    def encode(self, text: str) -> list[tuple[float, bytes]]:
+        """Score and ids (little-endian 32-bit numbers) of the N best segmentations, the best first."""
         if len(self.solved) > REMEMBERED:
             self.solved = Stretches(self.vocabulary, dict(self.solved))
         parts = self.vocabulary.stretches(text)
         found = list(map(self.solved.__getitem__, parts))
-        total = sum(x[0] for x in found)
-        return total, b"".join([x[1] for x in found]), [x for x, _ in self._combined(parts, found, total)]
+        own, out = [x[1] for x in found], []
+        for score, took in self._combined(parts, found, sum(x[0] for x in found)):
+            ids = list(own)
+            for k, j in took.items():
+                ids[k] = array("I", self.alternatives(parts[k])[j][1]).tobytes()
+            out.append((score, b"".join(ids)))
+        return out
 
     def _combined(self, parts, found, total) -> list[tuple[float, dict[int, int]]]:
         """Scores of the N best and which stretch takes which alternative."""
@@ -217,13 +222,7 @@ class Coder:
 
     def nbest(self, text: str) -> list[Path]:
         """The N best segmentations of a whole text: score and ids."""
-        parts = self.vocabulary.stretches(text)
-        found = list(map(self.solved.__getitem__, parts))
-        out = []
-        for score, took in self._combined(parts, found, sum(x[0] for x in found)):
-            ids = [self.alternatives(s)[took[k]][1] if k in took else tuple(array("I", found[k][1])) for k, s in enumerate(parts)]
-            out.append((score, tuple(itertools.chain.from_iterable(ids))))
-        return out
+        return [(score, tuple(array("I", ids))) for score, ids in self.encode(text)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -233,7 +232,10 @@ def coder(path: str, best: int) -> Coder:
 
 
 def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", best: int = BEST, with_ids: bool = True) -> DataFrame:
-    """doc_id, n_tokens, score, scores (of the N best), ids_crc32, round_trip (decoding gives the text back), and ids (little-endian 32-bit)."""
+    """doc_id, n_tokens, score, scores and nbest_crc32 (of the N best), ids_crc32, round_trip (decoding the best gives the text back).
+
+    ``with_ids`` adds ids (the best, as little-endian 32-bit numbers) and nbest (the ids of each of the N best, the best first).
+    """
     tune(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -242,20 +244,24 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
         for b in batches(it):
             texts = texts_of(b.column("text"))
             coded = [c.encode(t) for t in texts]
-            back = [c.vocabulary.decode(array("I", ids)) == t for t, (_, ids, _) in zip(texts, coded, strict=True)]
+            best_ids = [n[0][1] for n in coded]
+            back = [c.vocabulary.decode(array("I", ids)) == t for t, ids in zip(texts, best_ids, strict=True)]
+            sums = [[zlib.crc32(ids) for _, ids in n] for n in coded]
             columns = {
                 "doc_id": b.column("doc_id"),
-                "n_tokens": pa.array([len(ids) // 4 for _, ids, _ in coded], pa.int64()),
-                "score": pa.array([s for s, _, _ in coded], pa.float64()),
-                "scores": pa.array([x for _, _, x in coded], pa.list_(pa.float64())),
-                "ids_crc32": pa.array([zlib.crc32(ids) for _, ids, _ in coded], pa.int64()),
+                "n_tokens": pa.array([len(ids) // 4 for ids in best_ids], pa.int64()),
+                "score": pa.array([n[0][0] for n in coded], pa.float64()),
+                "scores": pa.array([[s for s, _ in n] for n in coded], pa.list_(pa.float64())),
+                "ids_crc32": pa.array([x[0] for x in sums], pa.int64()),
+                "nbest_crc32": pa.array(sums, pa.list_(pa.int64())),
                 "round_trip": pa.array(back, pa.bool_()),
             }
             if with_ids:
-                columns["ids"] = pa.array([ids for _, ids, _ in coded], pa.binary())
+                columns["ids"] = pa.array(best_ids, pa.binary())
+                columns["nbest"] = pa.array([[ids for _, ids in n] for n in coded], pa.list_(pa.binary()))
             yield pa.RecordBatch.from_pydict(columns)
 
-    schema = f"doc_id {kind}, n_tokens long, score double, scores array<double>, ids_crc32 long, round_trip boolean" + ", ids binary" * with_ids
+    schema = f"doc_id {kind}, n_tokens long, score double, scores array<double>, ids_crc32 long, nbest_crc32 array<long>, round_trip boolean" + ", ids binary, nbest array<binary>" * with_ids
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 

@@ -8,15 +8,17 @@ File: magic, then a compressed header (ids, bits, documents, plane sizes and zer
 document ids and ends) and one zstd frame a plane, so a lookup opens only what it reads.  Spark
 writes the files (one row each, as a binary column), so a lost executor leaves no half file.
 
-Defined results: null text counts as empty and an empty text is its end id alone; rows with a
-null id come first; repeated rows are all written; an empty table gives a store without shards;
-other columns are ignored.
+Defined results: null text counts as empty and an empty text is its end id alone; ids are 64-bit
+numbers, those of other types are cast and null where that fails; rows with a null id come first;
+repeated rows are all written, rows of one id in the order of their texts; an empty table gives a
+store without shards; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +30,9 @@ from pyspark.sql import functions as F
 from quire.llm.common import batches, materialize, texts_of, tune
 from quire.llm.subwords import encoder
 
-MAGIC = b"QWMX0001"
+MAGIC = b"QWMX0002"
 SHARD_TOKENS = 1 << 18
 BLOCK = 512  # bits between stored ranks
-NO_ID = -(1 << 63)
 
 
 class WaveletMatrix:
@@ -129,11 +130,28 @@ class WaveletMatrix:
 def pack(doc_ids: list[int | None], ends: np.ndarray, ids: np.ndarray) -> bytes:
     w, z = WaveletMatrix.build(ids), zstandard.ZstdCompressor(level=1)
     frames = [z.compress(p.tobytes()) for p in w.planes]
-    named = np.array([NO_ID if x is None else x for x in doc_ids], "<i8")
-    head = z.compress(struct.pack("<QIQ", w.n, len(frames), len(named)) + np.array([len(f) for f in frames] + w.zeros, "<u8").tobytes() + named.tobytes() + np.asarray(ends, "<u8").tobytes())
+    named, absent = np.array([x or 0 for x in doc_ids], "<i8"), np.packbits([x is None for x in doc_ids])
+    head = z.compress(struct.pack("<QIQ", w.n, len(frames), len(named)) + np.array([len(f) for f in frames] + w.zeros, "<u8").tobytes() + named.tobytes() + np.asarray(ends, "<u8").tobytes() + absent.tobytes())
     return b"".join([MAGIC, struct.pack("<I", len(head)), head, *frames])
 
 
+class Planes(Sequence):
+    """The planes of a shard, each opened when it is first read."""
+
+    def __init__(self, blob: bytes, at: int, sizes: list[int]):
+        self.blob, self.ends, self.sizes = blob, (at + np.cumsum(sizes)).tolist(), sizes
+        self.open: dict[int, np.ndarray] = {}
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def __getitem__(self, level: int) -> np.ndarray:
+        if level not in self.open:
+            end = self.ends[level]
+            self.open[level] = np.frombuffer(zstandard.ZstdDecompressor().decompress(self.blob[end - self.sizes[level] : end]), np.uint8)
+        return self.open[level]
+
+
 def unpack(blob: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
     if blob[:8] != MAGIC:
         raise ValueError("not a token shard")
@@ -141,14 +159,12 @@ def unpack(blob: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
     z = zstandard.ZstdDecompressor()
     head = z.decompress(blob[12 : 12 + size])
     n, bits, docs = struct.unpack_from("<QIQ", head)
-    body = np.frombuffer(head, "<u8", offset=20)
+    body = np.frombuffer(head, "<u8", count=2 * (bits + docs), offset=20)
+    absent = np.unpackbits(np.frombuffer(head, np.uint8, offset=20 + body.nbytes), count=docs).view(bool)
     sizes, zeros = body[:bits].tolist(), body[bits : 2 * bits].tolist()
-    named = body[2 * bits : 2 * bits + docs].view("<i8").tolist()
-    at, planes = 12 + size, []
-    for s in sizes:
-        planes.append(np.frombuffer(z.decompress(blob[at : at + s]), np.uint8))
-        at += s
-    return [None if x == NO_ID else x for x in named], body[2 * bits + docs :], WaveletMatrix(n, planes, zeros)
+    named = body[2 * bits : 2 * bits + docs].view("<i8").astype(object)
+    named[absent] = None
+    return named.tolist(), body[2 * bits + docs :], WaveletMatrix(n, Planes(blob, 12 + size, sizes), zeros)
 
 
 def _writer(tokenizer: str, end_id: int, most: int):
@@ -182,8 +198,8 @@ def _writer(tokenizer: str, end_id: int, most: int):
 def write_store(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Write the shards in id order; the table of them: part, before (ids earlier in the part), n_docs, n_tokens, blob."""
     tune(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    rows = docs.select(F.expr(f"try_cast(`{id_col}` AS BIGINT)").alias("doc_id"), F.col(text_col).alias("text"))
+    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return materialize(ordered.mapInArrow(_writer(tokenizer, end_id, shard_tokens), "part int, before long, n_docs long, n_tokens long, blob binary"), "tokens")
 
 

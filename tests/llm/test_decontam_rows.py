@@ -13,3 +13,11 @@ def test_blocks_keep_every_row(spark):
 
     wanted = sorted([(None, [0]), (None, []), (None, [3]), (1, [1]), (1, []), (2, [2, 5]), (2, [])], key=repr)
     assert found(decontam.BLOCK_WORDS) == found(10) == wanted
+
+
+def test_item_ids_of_other_types(spark):
+    df = spark.createDataFrame([(1, "one two three four five"), (2, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([("b/7", "two three four"), (None, "one two"), ("b/2", "four five")], "item_id string, text string")
+    for most in (decontam.BLOCK_WORDS, 3):
+        got = {r.doc_id: [(h.item_id, h.edits, h.end_word) for h in r.hits] for r in decontam.find_contamination(df, bench, most=most).collect()}
+        assert got == {1: [("b/2", 0, 5), ("b/7", 0, 4)], 2: []}
