@@ -5,12 +5,13 @@ many different contexts (so that a copied toxic passage does not make its ordina
 suspicious).  Its trie is intersected with Levenshtein automata: one deterministic automaton over
 sets of (trie node, edits) is unfolded as words need it, so a word is judged by one table
 lookup a letter.  A hit that stands in quotation marks or near a word of reporting counts apart
-from open abuse, and a misspelled hit apart from an exact one; a logistic model over these sums
-gives the score.
+from open abuse, and a misspelled hit apart from an exact one; a logistic model over the binary
+logarithms of these sums, each plus one, gives the score, so further abuse always raises it.
 
 Copies of a text are one text to the lexicon, and count with their number in the weights.
-Learning reads at most ``SAMPLE`` labelled rows, those of the least hash of their id; everything
-else covers all rows and whole texts.
+Learning reads about ``SAMPLE`` labelled ids, those whose hash lies below the share of them that
+this is, so the lexicon is as large as the words of that sample make it; everything else covers
+all rows and whole texts.
 
 Defined results: null text counts as empty; a text without hits, empty ones too, gets the base
 score; without toxic training rows every score is that of an empty lexicon; rows with a null id or
@@ -31,10 +32,9 @@ from pyspark.sql import functions as F
 from quire.llm.common import batches, crc_mod, materialize, texts_of, tune
 
 FOLDS, HELD_OUT = 5, 0
-SAMPLE, LEXICON, EXEMPT = 60_000, 1_000, 20_000
+SAMPLE = 60_000
 #: A term needs so many toxic texts and different contexts, and such a ratio of toxic to clean rates.
 SUPPORT, RATIO = 3, 20.0
-CANDIDATES = 20_000
 NEAR = 6  # words on either side that make up a hit's context
 FLUSH, REMEMBERED, STATES = 200_000, 300_000, 100_000
 _WORD = re.compile(r"[^\W_]+(?:[@$!*'_-]+[^\W_]+)*")
@@ -143,7 +143,8 @@ class Scorer:
     def features(self, text: str) -> list[float]:
         """Strength of hits: exact or misspelled, open or quoted."""
         out = [0.0] * 4
-        places = list(_WORD.finditer(text.lower()))
+        text = text.lower()  # which may move the places of what follows
+        places = list(_WORD.finditer(text))
         names = [m.group() for m in places]
         for at, w in enumerate(names):
             hit = self.known.get(w)
@@ -154,7 +155,7 @@ class Scorer:
             after = _MARK.search(text[places[at].end() : places[b - 1].end() + 1])
             quoted = bool(len(before) % 2 and after) or not REPORTING.isdisjoint(names[a:b])
             out[2 * (hit[0] > 0) + quoted] += self.strength[hit[1]]
-        return [min(x, 20.0) for x in out]
+        return out
 
     def rows(self, texts: list[str]) -> list[list[float]]:
         split = [set(words_of(t)) for t in texts]
@@ -163,7 +164,7 @@ class Scorer:
         return [self.features(t) if any(known[w] is not None for w in words) else [0.0] * 4 for t, words in zip(texts, split, strict=True)]
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        x = np.array(self.rows(texts), float).reshape(-1, 4)
+        x = np.log2(1 + np.array(self.rows(texts), float).reshape(-1, 4))
         return 1 / (1 + np.exp(-(self.weights[0] + x @ self.weights[1:])))
 
 
@@ -209,14 +210,14 @@ def _look_alikes(lexicon: list[str]):
     return run
 
 
-def fit(x: np.ndarray, y: np.ndarray, prior: np.ndarray = PRIOR, ridge: float = 0.5, rounds: int = 50) -> np.ndarray:
-    """Logistic weights by Newton's method, drawn towards ``prior``; hits never speak for a clean text."""
-    x = np.hstack([np.ones((len(x), 1)), x])
+def fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, prior: np.ndarray = PRIOR, ridge: float = 0.5, rounds: int = 50) -> np.ndarray:
+    """Logistic weights by Newton's method for rows that stand ``n`` times, drawn towards ``prior``; hits never speak for a clean text."""
+    x = np.hstack([np.ones((len(x), 1)), np.log2(1 + x)])
     w = prior.copy()
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-(x @ w)))
-        grad = x.T @ (p - y) + ridge * (w - prior)
-        hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        grad = x.T @ (n * (p - y)) + ridge * (w - prior)
+        hess = (x * (n * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         move = np.linalg.solve(hess, grad)
         w = w - move * min(1.0, 4 / max(1e-9, np.abs(move).max()))
         w[1:] = np.maximum(w[1:], 0)
@@ -229,9 +230,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[dic
     """docs: doc_id, text; labels: doc_id, toxic.  Returns the lexicon, look-alikes of clean texts and the weights."""
     spark = docs.sparkSession
     tune(spark)
-    usable = labels.where(F.col("toxic").isNotNull() & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
-    # At most ``sample`` rows of 12 bytes: safe to broadcast at any size of the corpus.
+    usable = labels.where(F.col("toxic").isNotNull() & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT)).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
+    share = min(1.0, sample / max(1, usable.count()))
+    # One threshold instead of a sort: about ``sample`` rows of 12 bytes are broadcast at any size of the corpus.
+    chosen = usable.where(F.xxhash64("doc_id").cast("double") <= F.lit((2 * share - 1) * 2.0**63))
     lessons = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
     # Copies are merged: support, like contexts, counts distinct texts.
     lessons = materialize(lessons.groupBy("toxic", "text").agg(F.count(F.lit(1)).alias("copies")), "lessons")
@@ -239,16 +241,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[dic
     n = {r.toxic: r.n for r in lessons.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = n.get(1, 0), sum(v for k, v in n.items() if k != 1)
     ratio = ((F.col("toxic") + 0.1) / F.lit(bad + 1.0)) / ((F.col("clean") + 0.1) / F.lit(good + 1.0))
-    suspects = counted.where((F.col("toxic") >= SUPPORT) & (ratio >= RATIO)).select("word", "toxic", "clean", ratio.alias("ratio")).orderBy(F.desc("toxic"), "word").limit(CANDIDATES).collect()
+    suspects = counted.where((F.col("toxic") >= SUPPORT) & (ratio >= RATIO)).select("word", "toxic", ratio.alias("ratio")).collect()
     words = frozenset(r.word for r in suspects)
     held = lessons.where("toxic = 1").mapInArrow(_contexts(words), "word string, context string").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     contexts = {r.word: r.n for r in held.collect()} if words else {}
-    ranked = sorted((-r.ratio * np.log1p(contexts.get(r.word, 0)), r.word, r.toxic) for r in suspects if contexts.get(r.word, 0) >= max(SUPPORT, r.toxic / 2))
-    lexicon = {w: float(min(2.0, np.log10(1 - s))) for s, w, _ in ranked[:LEXICON]}
+    lexicon = {r.word: float(min(2.0, np.log10(1 + r.ratio * np.log1p(contexts[r.word])))) for r in suspects if contexts.get(r.word, 0) >= max(SUPPORT, r.toxic / 2)}
     exempt: frozenset[str] = frozenset()
     if lexicon:
         alike = counted.where("clean > 0 AND toxic <= clean").mapInArrow(_look_alikes(sorted(lexicon)), counted.schema)
-        exempt = frozenset(r.word for r in alike.orderBy(F.desc("clean"), "word").limit(EXEMPT).collect())
+        exempt = frozenset(r.word for r in alike.select("word").collect())
     shared = spark.sparkContext.broadcast((lexicon, exempt))
 
     def rows(it):
@@ -261,9 +262,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[dic
     summed = lessons.mapInArrow(rows, "toxic int, copies long, x array<double>").groupBy("toxic", "x").agg(F.sum("copies").alias("n")).collect()
     if not bad:
         return lexicon, exempt, PRIOR
-    x = np.array([r.x for r in summed for _ in range(r.n)], float).reshape(-1, 4)
-    y = np.array([r.toxic == 1 for r in summed for _ in range(r.n)], float)
-    return lexicon, exempt, fit(x, y)
+    x, y, n = np.array([r.x for r in summed], float).reshape(-1, 4), np.array([r.toxic == 1 for r in summed], float), np.array([r.n for r in summed], float)
+    return lexicon, exempt, fit(x, y, n)
 
 
 def score_documents(docs: DataFrame, model: tuple) -> DataFrame:

@@ -143,6 +143,36 @@ def test_context_tells_quotation_from_abuse():
     assert p[0] > 0.5 > p[1] > p[2] > 0
 
 
+def test_toxicity_scores_equal_brute_force(docs, spark):
+    """Features and score of every text by distances to every term, word by word."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    lexicon, exempt, w = toxicity.train(docs.select("doc_id", "text"), labels)
+    lexicon = {**lexicon, "scoundrel": 1.5, "rat": 0.5}
+    terms = sorted(lexicon)
+    rng = random.Random(7)
+    fill = ["said", "the", "a", '"', "“", "”", "scoundrel", "scoundel", "rat", "rats", "İİİ", *terms[:6], *[t[1:] for t in terms[:6]]]
+    texts = [" ".join(rng.choice(fill) for _ in range(rng.randint(0, 30))) for _ in range(150)] + ["İ" * 8 + ' "scoundrel" x', "scoundrel " * 500, ""]
+
+    def slow(text):
+        text, out = text.lower(), [0.0] * 4
+        found = [(m.group(), m.start(), m.end()) for m in toxicity._WORD.finditer(text)]
+        for k, (word, start, end) in enumerate(found):
+            near = min(((distance(word, t), n) for n, t in enumerate(terms) if distance(word, t) <= toxicity.edits_for(t)), default=None)
+            if near is None or word in exempt:
+                continue
+            around = found[max(0, k - toxicity.NEAR) : k + toxicity.NEAR + 1]
+            marks = [sum(c in '"“”„«»' for c in part) for part in (text[around[0][1] : start], text[end : around[-1][2] + 1])]
+            quoted = (marks[0] % 2 == 1 and marks[1] > 0) or any(x in toxicity.REPORTING for x, _, _ in around)
+            out[2 * (near[0] > 0) + quoted] += lexicon[terms[near[1]]]
+        return out
+
+    s = toxicity.Scorer(lexicon, exempt, w)
+    got, wanted = np.array(s.rows(texts)), np.array([slow(t) for t in texts])
+    assert np.allclose(got, wanted)
+    odds = [math.exp(w[0] + sum(a * math.log2(1 + x) for a, x in zip(w[1:], row, strict=True))) for row in wanted.tolist()]
+    assert np.allclose(s.scores(texts), [o / (1 + o) if math.isfinite(o) else 1 for o in odds])
+
+
 def test_toxicity_learns(spark):
     rng = random.Random(3)
     plain = [f"w{k}" for k in range(300)]
