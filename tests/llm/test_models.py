@@ -203,27 +203,73 @@ def test_toxicity_odd_rows(spark, odd, none, clashing):
     assert toxicity.score_documents(none.select("doc_id", "text"), model).count() == 0
 
 
-def test_language_held_out(docs):
-    out = lang_id.identify(docs.select("doc_id", "text"), lang_id.train(docs.select("doc_id", "text", "lang")))
-    both = out.join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
-    assert both and np.mean([r.lang == r.lang_pred for r in both]) > 0.97
+def slow_languages(rows):
+    """doc_id -> (language, score) by counting everything in memory."""
+    letters, grams, known = Counter(), {}, {}
+    for i, t, lang in rows:
+        if i is None or lang is None or t is None or fold(i, 4) == 2:
+            continue
+        for w in lang_id.words_of(t):
+            known.setdefault(w, Counter())[lang] += 1
+            for n in range(1, 6):
+                for g in lang_id.grams_of(w, n):
+                    grams.setdefault(g, Counter())[lang] += 1
+                    letters[lang] += n == 1
+    langs = sorted({x for c in known.values() for x in c})
+    total = {x: sum(c[x] for c in known.values()) for x in langs}
+
+    def word(w, x):
+        if w in known:
+            return math.log((known[w][x] + 0.5) / (total[x] + 0.5 * (len(known) + 1)))
+        framed, got = f"<{w}>", []
+        for end in range(1, len(framed) + 1):
+            for n in range(min(5, end), 0, -1):
+                if framed[end - n : end] in grams:
+                    got.append(grams[framed[end - n : end]][x])
+                    break
+        return sum(math.log((c + 0.5) / (letters[x] + 0.5 * (len(grams) + 1))) for c in got or [0]) / 5
+
+    out = []
+    for i, t, _ in rows:
+        w = lang_id.words_of(t or "")
+        if not w or not langs:
+            out.append((i, fold(i, 4) == 2, "und", 0.0))
+            continue
+        sums = [sum(word(y, x) for y in w) for x in langs]
+        best = max(sums)
+        out.append((i, fold(i, 4) == 2, langs[sums.index(best)], round(1 / sum(math.exp(x - best) for x in sums), 6)))
+    return sorted(out, key=repr)
+
+
+def told(df, heavy=lang_id.HEAVY):
+    d = df.select("doc_id", "text", "lang")
+    return sorted(((r.doc_id, r.held_out, r.lang_pred, round(r.score, 6)) for r in lang_id.identify(d, lang_id.train(d), heavy).collect()), key=repr)
+
+
+def test_language_equals_brute_force(spark, docs, odd, none, clashing):
+    rng = random.Random(2)
+    made = [(k, "".join(rng.choice("abcé ²7") for _ in range(rng.randint(0, 25))) + f" the{k % 7}", rng.choice(["xx", "yy", "zz", None])) for k in range(300)]
+    made = spark.createDataFrame(made, "doc_id long, text string, lang string")
+    for df in (made, odd, clashing, none):
+        assert told(df) == slow_languages([(r.doc_id, r.text, r.lang) for r in df.select("doc_id", "text", "lang").collect()])
+    assert told(made, 30) == told(made, 5) == told(made)
+    some = docs.where("doc_id < 60")
+    assert told(some) == told(some, 100) == slow_languages([(r.doc_id, r.text, r.lang) for r in some.collect()])
 
 
-def test_language_backoff():
-    one = lambda *n: np.array(n, float)
-    m = lang_id.Model(["a", "b"], {"the": one(9, 0)}, one(9, 9), {"<qu": one(0, 5), "q": one(5, 1), "u": one(1, 1)}, one(9, 9))
-    assert [list(m.grams)[k] for k in m.backed_off("quz")] == ["q", "<qu"]
-    assert [x for x, _ in lang_id.Scorer(m).score(["the", "qu", "12 !", ""])] == ["a", "b", "und", "und"]
+def test_language_held_out(docs):
+    d = docs.select("doc_id", "text", "lang")
+    both = lang_id.identify(d, lang_id.train(d)).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert both and np.mean([r.lang == r.lang_pred for r in both]) > 0.97
 
 
-def test_language_odd_rows(odd, none, clashing):
-    for df in (odd, clashing):
-        d = df.select("doc_id", "text", "lang")
-        out = {r.doc_id: r for r in lang_id.identify(d.select("doc_id", "text"), lang_id.train(d)).collect()}
-        assert out[1].lang_pred == out[2].lang_pred == out[7].lang_pred == "und" and not out[None].held_out
-        assert all(r.lang_pred in ("und", "en", "fr", "es") and 0 <= r.score <= 1 for r in out.values())
-    empty = lang_id.train(none.select("doc_id", "text", "lang"))
-    assert {r.lang_pred for r in lang_id.identify(odd.select("doc_id", "text"), empty).collect()} == {"und"}
+def test_language_odd_rows(spark, odd, none):
+    out = {r.doc_id: r for r in lang_id.identify(odd, lang_id.train(odd)).collect()}
+    assert out[1].lang_pred == out[2].lang_pred == out[7].lang_pred == "und" and not out[None].held_out
+    assert all(r.lang_pred in ("und", "en", "fr", "es") and 0 <= r.score <= 1 for r in out.values())
+    signs = spark.createDataFrame([(1, "²³ 12 _ !", "en"), (2, "x", "en"), (3, "y²", None)], "doc_id long, text string, lang string")
+    assert {r.doc_id: r.lang_pred for r in lang_id.identify(signs, lang_id.train(signs)).collect()} == {1: "und", 2: "en", 3: "en"}
+    assert {r.lang_pred for r in lang_id.identify(odd, lang_id.train(none)).collect()} == {"und"}
 
 
 def test_pipeline(spark, docs):
