@@ -5,8 +5,9 @@ back to its 5-grams, and wherever such a gram is unknown to ever shorter ones do
 letters.  Counts cover all training texts, and every word and gram counts, however rare.
 
 Words frequent enough that fewer than ``HEAVY`` of them can exist travel with the tasks; all others
-meet their scores in a join on the word, and unseen words meet the grams in a join on the gram, once
-for each distinct word.  So nothing that grows with the vocabulary is sent to every task.
+meet their scores in a join on the word.  Grams are looked up once for each distinct unseen word: in
+a table that travels with the tasks while there are at most ``GRAMS_TOLD`` of them, beyond that in a
+join on the gram, with the same result.  So nothing unbounded is sent to every task.
 
 With base_l = log(SMOOTH / (words of l + SMOOTH * (distinct words + 1))), a text of n words scores
 n * base_l plus, for each word, what it adds to that: log((its count in l + SMOOTH) / SMOOTH) if it
@@ -39,6 +40,8 @@ FOLDS, HELD_OUT = 4, 2
 LONGEST, SMOOTH = 5, 0.5
 #: Words that hold more than so small a share of all training words travel with the tasks.
 HEAVY = 1_000_000
+#: Distinct grams that travel with the tasks at most.
+GRAMS_TOLD = 500_000
 FLUSH = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -143,8 +146,40 @@ def known_scores(model: Model, words: DataFrame) -> DataFrame:
     return words.select("word", _index(model, F.col("lang")).alias("l"), (F.log(F.col("n") + SMOOTH) - math.log(SMOOTH)).alias("add"))
 
 
-def unseen_scores(model: Model, words: DataFrame) -> DataFrame:
+def _speller(shared):
+    """word, l, add of distinct words, by a table of grams in memory."""
+
+    def run(it):
+        index, more, gram_base, base = shared.value
+        for b in batches(it):
+            words, found = b.column("word").to_pylist(), []
+            for w in words:
+                framed, own = f"<{w}>", []
+                for end in range(1, len(framed) + 1):
+                    for n in range(min(LONGEST, end), 0, -1):
+                        k = index.get(framed[end - n : end])
+                        if k is not None:
+                            own.append(k)
+                            break
+                found.append(own or [len(index)])  # a word without any known gram counts as one place of nothing known
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            sums = np.add.reduceat(more[np.fromiter(itertools.chain.from_iterable(found), np.int64, int(size.sum()))], np.cumsum(size) - size, axis=0)
+            add = (sums + size[:, None] * gram_base) / LONGEST - base
+            n = len(base)
+            yield pa.record_batch([pa.array(np.repeat(np.array(words, object), n), pa.string()), pa.array(np.tile(np.arange(n, dtype=np.int32), len(words)), pa.int32()), pa.array(add.ravel(), pa.float64())], names=["word", "l", "add"])
+
+    return run
+
+
+def unseen_scores(model: Model, words: DataFrame, told: int = GRAMS_TOLD) -> DataFrame:
     """word, l, add: what each of the distinct words adds by the longest known grams that end at each of its places."""
+    if model.distinct_grams <= told:
+        rows, at = model.grams.toPandas(), {x: k for k, x in enumerate(model.langs)}
+        index = {g: k for k, g in enumerate(rows["gram"].unique())}
+        more = np.zeros((len(index) + 1, len(model.langs)))
+        more[rows["gram"].map(index), rows["lang"].map(at)] = np.log(rows["n"] + SMOOTH) - math.log(SMOOTH)
+        shared = words.sparkSession.sparkContext.broadcast((index, more, model.gram_base, model.base))
+        return _spread(words, "word").mapInArrow(_speller(shared), "word string, l int, add double")
     framed, every = F.concat(F.lit("<"), F.col("word"), F.lit(">")), F.sequence(F.lit(0), F.lit(len(model.langs) - 1))
     cut = F.transform(F.sequence(F.lit(1), F.length("framed")), lambda e: F.transform(F.sequence(F.lit(1), F.least(e, F.lit(LONGEST))), lambda n: F.struct(e.alias("end"), n.alias("size"), F.substring(F.col("framed"), e - n + 1, n).alias("gram"))))
     places = _spread(words, "word").select("word", framed.alias("framed")).select("word", F.inline(F.flatten(cut)))
@@ -186,7 +221,7 @@ def _reader(shared, n_langs: int):
     return run
 
 
-def identify(docs: DataFrame, model: Model, heavy: int = HEAVY) -> DataFrame:
+def identify(docs: DataFrame, model: Model, heavy: int = HEAVY, told: int = GRAMS_TOLD) -> DataFrame:
     """doc_id, held_out, lang_pred, score for each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     tune(spark)
@@ -209,7 +244,7 @@ def identify(docs: DataFrame, model: Model, heavy: int = HEAVY) -> DataFrame:
     schema = f"doc_id {kind}, held_out boolean, row long, n long, heavy array<double>, light array<struct<word: string, n: int>>"
     read = materialize(marked.mapInArrow(_reader(shared, len(model.langs)), schema), "read")
     new = read.select(F.explode("light.word").alias("word")).distinct()
-    unseen = materialize(unseen_scores(model, new.join(totals, "word", "left_anti")), "unseen")
+    unseen = materialize(unseen_scores(model, new.join(totals, "word", "left_anti"), told), "unseen")
     rarely = known_scores(model, model.words.join(totals.where(F.col("all") <= floor).select("word"), "word", "left_semi"))
     met = read.select("row", F.inline("light")).join(rarely.unionByName(unseen), "word")
     sums = met.groupBy("row", "l").agg(F.sum(F.col("n") * F.col("add")).alias("add")).groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("l", "add"))).alias("by"))

@@ -241,9 +241,9 @@ def slow_languages(rows):
     return sorted(out, key=repr)
 
 
-def told(df, heavy=lang_id.HEAVY):
+def told(df, heavy=lang_id.HEAVY, grams=lang_id.GRAMS_TOLD):
     d = df.select("doc_id", "text", "lang")
-    return sorted(((r.doc_id, r.held_out, r.lang_pred, round(r.score, 6)) for r in lang_id.identify(d, lang_id.train(d), heavy).collect()), key=repr)
+    return sorted(((r.doc_id, r.held_out, r.lang_pred, round(r.score, 6)) for r in lang_id.identify(d, lang_id.train(d), heavy, grams).collect()), key=repr)
 
 
 def test_language_equals_brute_force(spark, docs, odd, none, clashing):
@@ -252,9 +252,9 @@ def test_language_equals_brute_force(spark, docs, odd, none, clashing):
     made = spark.createDataFrame(made, "doc_id long, text string, lang string")
     for df in (made, odd, clashing, none):
         assert told(df) == slow_languages([(r.doc_id, r.text, r.lang) for r in df.select("doc_id", "text", "lang").collect()])
-    assert told(made, 30) == told(made, 5) == told(made)
+    assert told(made, 30) == told(made, 5, 0) == told(made, grams=0) == told(made)
     some = docs.where("doc_id < 60")
-    assert told(some) == told(some, 100) == slow_languages([(r.doc_id, r.text, r.lang) for r in some.collect()])
+    assert told(some) == told(some, 100, 0) == slow_languages([(r.doc_id, r.text, r.lang) for r in some.collect()])
 
 
 def test_language_held_out(docs):
