@@ -63,58 +63,152 @@ def test_lm_odd_rows(odd, none, clashing):
     assert scored(none) == []
 
 
+def trained(docs):
+    _, stats, net = lm_scoring.train(docs.select("doc_id", "text"), BPE)
+    return stats, net, lm_scoring.ids_for(BPE)
+
+
+def slow_score(stats, net, ids, text):
+    """log10 probability of a text, one subword, one node and one pair of places at a time."""
+    w, end, tree = {k: v.astype(float) for k, v in net.w.items()}, ids.end, stats.tree
+    spelt = [np.frombuffer(x, "<u4").astype(int).tolist() for x in ids.many([x.encode() for x in words(text)])]
+    out = [k for x in spelt for k in x] + [end]
+    before = [end, *out[:-1]]
+
+    def state(p):
+        # The window that scores place p: twelve at a time, with four before them.
+        first = p // 12 * 12 - 4
+        seen = [before[q] if q >= 0 else end for q in range(first, p + 1)]
+        x = [w["e"][k] + w["p"][n] for n, k in enumerate(seen)]
+        q = x[-1] @ w["q"] / 4
+        a = [math.exp(min(30, q @ (y @ w["k"]))) for y in x]
+        return x[-1] + sum(b * (y @ w["v"]) for b, y in zip(a, x, strict=True)) / sum(a)
+
+    def turn(p, h, node, side):
+        at = stats.column[node]
+        odds = float(stats.after[stats.place[before[p]], at] if at >= 0 else stats.alone[node]) + h @ w["n"][node]
+        return 1 / (1 + math.exp(-odds if side else odds))
+
+    def way(k):
+        return [(t >> 1, t & 1) for t in tree.turns[tree.start[k] : tree.start[k] + tree.size[k]].tolist()]
+
+    total, place, met = 0.0, 0, Counter()
+    for n, parts in enumerate([*spelt, [end]]):
+        p = 1.0
+        for m, k in enumerate(parts):
+            h = state(place)
+            if m:
+                p *= turn(place, h, 0, 0)
+            for node, side in way(k):
+                p *= turn(place, h, node, side)
+            place += 1
+        again = lm_scoring.RECENT * n / (n + lm_scoring.RECENT_FROM)
+        if n < len(spelt):
+            p *= turn(place, state(place), 0, 1)
+            p = (1 - again) * p + (again * met[tuple(parts)] / n if n else 0)
+            met[tuple(parts)] += 1
+        else:
+            p *= 1 - again
+        total += math.log10(p)
+    return total
+
+
+def test_lm_equals_brute_force(spark, docs):
+    stats, net, ids = trained(docs.where("doc_id < 40"))
+    assert np.abs(net.w["n"]).max() > 0
+    rng = random.Random(3)
+    known = [x for r in docs.limit(5).collect() for x in words(r.text)[:40]]
+    texts = ["", "a", "the the the", *(" ".join(rng.choice([*known, "xq", "日本", "don't", "12"]) for _ in range(rng.randint(1, 30))) for _ in range(12))]
+    c = lm_scoring.coded(pa.array(texts), ids)
+    got = lm_scoring.Scorer(stats, net, ids).score(c, lm_scoring.repeats(c)[0])
+    assert np.allclose(got, [slow_score(stats, net, ids, t) for t in texts], rtol=2e-4)
+
+
 def test_lm_is_normalised(docs):
-    """Continuations of a context add up to one: over ids inside a word and over ids after a space."""
-    counted, stats, net = lm_scoring.train(docs.select("doc_id", "text"), BPE)
-    ids = lm_scoring.ids_for(BPE)
-    c = lm_scoring.coded(pa.array(["the and attion"]), ids)
-    size = ids.end + 1
-    opening = stats.kind < lm_scoring.OPENING
+    """Continuations of a context add up to one, over ids inside a word and over ids that begin one; every id has a way of its own."""
+    stats, net, ids = trained(docs.where("doc_id < 40"))
+    tree = stats.tree
+    ways = {(bool(o), tree.turns[a : a + n].tobytes()) for o, a, n in zip(tree.opening, tree.start, tree.size, strict=True)}
+    assert len(ways) == ids.end + 1 > 50_000
+    stem = lm_scoring.coded(pa.array(["the and attion"]), ids).out[:-1]
     s = lm_scoring.Scorer(stats, net, ids)
-    total = 0.0
-    for begins in (True, False):
-        every = np.flatnonzero(opening == begins)
-        every = every[stats.starts[every] > 0] if begins else every
-        n = len(every)
-        stem = c.out[:-1]
-        out = np.concatenate([np.concatenate((stem, [k])) for k in every[:: max(1, n // 4000)]])
-        flags = np.concatenate([np.concatenate((c.begins[:-1], [begins])) for _ in every[:: max(1, n // 4000)]])
-        ends = np.arange(1, len(out) // (len(stem) + 1) + 1) * (len(stem) + 1)
-        lp, _ = s.each(out, flags, ends)
-        total += np.exp(lp[ends - 1]).sum()
-    assert size > 50_000 and 0 < total <= 1.0001
+    for opens in (True, False):
+        every = np.flatnonzero(tree.opening == opens)
+        out = np.hstack((np.tile(stem, (len(every), 1)), every[:, None])).ravel()
+        ends = np.arange(1, len(every) + 1) * (len(stem) + 1)
+        total = np.exp(s.each(out, ends)[0][ends - 1]).sum()
+        assert abs(total - 1) < 1e-3
 
 
-def test_windows_score_each_id_once():
-    first, text = lm_scoring.layout(np.array([1, 12, 13, 40]))
-    seen = Counter()
-    for f, t in zip(first.tolist(), text.tolist(), strict=True):
-        for p in range(f + lm_scoring.OVERLAP, f + lm_scoring.WINDOW):
-            if p < [1, 12, 13, 40][t]:
-                seen[t, p] += 1
-    assert set(seen.values()) == {1} and len(seen) == 66
+def test_training_windows_follow_the_texts(spark, docs, monkeypatch):
+    ids = lm_scoring.ids_for(BPE)
+    for step in (256, 4096):
+        monkeypatch.setattr(lm_scoring, "STEP", step)
+        rows = lm_scoring.windows_of(docs.select("doc_id", "text"), BPE).collect()
+        before, own = (np.frombuffer(b"".join(bytes(r[c]) for r in rows), "<u4").reshape(-1, lm_scoring.WINDOW) for c in ("before", "ids"))
+        assert (before[:, 1:] == own[:, :-1]).all()
+        every = lm_scoring.coded(pa.array([r.text for r in docs.collect()]), ids).out
+        share = own.size / len(every) * step / lm_scoring.SLICE
+        assert 0.5 < share < 1.1
+        flat = every.astype("<u4").tobytes()
+        assert np.mean([flat.find(bytes(r.ids)[8:]) >= 0 for r in rows]) > 0.95
+
+
+def test_trainers_average_to_one(spark, docs):
+    """One trainer gives its own weights; several give the mean of theirs, row by row."""
+    windows = lm_scoring.windows_of(docs.select("doc_id", "text"), BPE)
+    stats, vectors = lm_scoring.statistics(lm_scoring.count_words(docs), windows, BPE)
+    start = lm_scoring.Network(vectors, stats.tree.nodes)
+    for most in (10**6, 60):
+        got = lm_scoring.fit_together(windows, stats, start, rounds=1, most=most)
+        n = max(1, -(-windows.count() // most))
+        sums, seen = {k: np.zeros_like(v, float) for k, v in start.w.items()}, {k: np.zeros(len(v)) for k, v in start.w.items()}
+        for part in windows.repartition(n, lm_scoring.F.xxhash64("before", "ids")).withColumn("p", lm_scoring.F.spark_partition_id()).groupBy("p").agg(lm_scoring.F.collect_list("before").alias("b"), lm_scoring.F.collect_list("ids").alias("i")).collect():
+            x, y = (np.frombuffer(b"".join(map(bytes, c)), "<u4").reshape(-1, lm_scoring.WINDOW).astype(np.int64) for c in (part.b, part.i))
+            own = lm_scoring.Network.copy(start)
+            _, met = own.fit(stats, x, y)
+            for k, v in own.w.items():
+                weight = met[k] if k in met else np.full(len(v), float(len(x)))
+                sums[k] += v * weight[:, None]
+                seen[k] += weight
+        for k, v in start.w.items():
+            wanted = np.where(seen[k][:, None] > 0, sums[k] / np.maximum(seen[k], 1)[:, None], v)
+            assert np.allclose(got.w[k], wanted, atol=0.05 if most > 1000 else 0.2) and np.abs(got.w[k] - wanted).mean() < 2e-3
 
 
 def test_attention_is_causal_and_its_gradient_right():
     rng = np.random.default_rng(0)
-    net = lm_scoring.Network(rng.standard_normal((30, lm_scoring.WIDTH)).astype(np.float32))
+    net = lm_scoring.Network(rng.standard_normal((30, lm_scoring.WIDTH)).astype(np.float32), 20)
     x = rng.integers(0, 30, (2, lm_scoring.WINDOW))
     y = x.copy()
     y[:, 9:] = 1
     assert np.allclose(net.attend(x)[-1][:, :9], net.attend(y)[-1][:, :9], atol=1e-5)
     net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
-    kinds = rng.integers(0, lm_scoring.CLASSES, x.shape)
-    prior = rng.random((*x.shape, lm_scoring.CLASSES)) + 0.1
-    _, grads = net.step(x, kinds, prior)
+    net.w["n"] = rng.standard_normal(net.w["n"].shape)
+    size = rng.integers(1, 5, x.size)
+    turns, which, first = rng.integers(0, 40, size.sum()), np.repeat(np.arange(x.size), size), np.cumsum(size) - size
+    odds = rng.standard_normal(len(turns))
+    _, grads = net.step(x, turns, first, which, odds)
     for name in net.w:
-        at = tuple(rng.integers(0, n) for n in net.w[name].shape) if name != "e" else (int(x[0, 0]), 3)
+        at = tuple(rng.integers(0, n) for n in net.w[name].shape) if name not in "en" else (int(x[0, 0]) if name == "e" else int(turns[0] >> 1), 3)
         keep = net.w[name][at]
         sides = []
         for e in (1e-5, -1e-5):
             net.w[name][at] = keep + e
-            sides.append(net.step(x, kinds, prior)[0])
+            sides.append(net.step(x, turns, first, which, odds)[0])
         net.w[name][at] = keep
-        assert abs((sides[0] - sides[1]) / 2e-5 - grads[name][at]) < 1e-4
+        got = dict(zip(grads[name][0].tolist(), grads[name][1], strict=True))[at[0]][at[1]] if name in "en" else grads[name][at]
+        assert abs((sides[0] - sides[1]) / 2e-5 - got) < 1e-4
+
+
+def test_windows_score_each_id_once():
+    first, text = lm_scoring.layout(np.array([1, 12, 13, 40]))
+    seen = Counter()
+    for f, t in zip(first.tolist(), text.tolist(), strict=True):
+        for p in range(f + lm_scoring.OVERLAP, f + lm_scoring.WINDOW):
+            if p < [1, 12, 13, 40][t]:
+                seen[t, p] += 1
+    assert set(seen.values()) == {1} and len(seen) == 66
 
 
 def distance(a, b):
