@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -146,6 +147,15 @@ def known_scores(model: Model, words: DataFrame) -> DataFrame:
     return words.select("word", _index(model, F.col("lang")).alias("l"), (F.log(F.col("n") + SMOOTH) - math.log(SMOOTH)).alias("add"))
 
 
+def _table(rows: DataFrame, n_langs: int) -> tuple[dict[str, int], np.ndarray]:
+    """Rows of keys, language numbers and what they add, as a number for each key and a matrix; its last row, of no key, adds nothing."""
+    found = rows.toArrow().combine_chunks()
+    keys = pc.dictionary_encode(found.column(0)).combine_chunks()
+    out = np.zeros((len(keys.dictionary) + 1, n_langs))
+    out[keys.indices.to_numpy(), found.column(1).to_numpy()] = found.column(2).to_numpy()
+    return {k: n for n, k in enumerate(keys.dictionary.to_pylist())}, out
+
+
 def _speller(shared):
     """word, l, add of distinct words, by a table of grams in memory."""
 
@@ -174,10 +184,7 @@ def _speller(shared):
 def unseen_scores(model: Model, words: DataFrame, told: int = GRAMS_TOLD) -> DataFrame:
     """word, l, add: what each of the distinct words adds by the longest known grams that end at each of its places."""
     if model.distinct_grams <= told:
-        rows, at = model.grams.toPandas(), {x: k for k, x in enumerate(model.langs)}
-        index = {g: k for k, g in enumerate(rows["gram"].unique())}
-        more = np.zeros((len(index) + 1, len(model.langs)))
-        more[rows["gram"].map(index), rows["lang"].map(at)] = np.log(rows["n"] + SMOOTH) - math.log(SMOOTH)
+        index, more = _table(model.grams.select("gram", _index(model, F.col("lang")).alias("l"), (F.log(F.col("n") + SMOOTH) - math.log(SMOOTH)).alias("add")), len(model.langs))
         shared = words.sparkSession.sparkContext.broadcast((index, more, model.gram_base, model.base))
         return _spread(words, "word").mapInArrow(_speller(shared), "word string, l int, add double")
     framed, every = F.concat(F.lit("<"), F.col("word"), F.lit(">")), F.sequence(F.lit(0), F.lit(len(model.langs) - 1))
@@ -232,12 +239,7 @@ def identify(docs: DataFrame, model: Model, heavy: int = HEAVY, told: int = GRAM
     totals = materialize(model.words.groupBy("word").agg(F.sum("n").alias("all")), "totals")
     often = totals.where(F.col("all") > floor).select("word")
     # Fewer than ``heavy`` words are above the floor.
-    rows = known_scores(model, model.words.join(often, "word", "left_semi")).collect()
-    index = {w: k for k, w in enumerate(sorted({r.word for r in rows}))}
-    add = np.zeros((len(index) + 1, len(model.langs)))
-    for r in rows:
-        add[index[r.word], r.l] = r["add"]
-    shared = spark.sparkContext.broadcast((index, add))
+    shared = spark.sparkContext.broadcast(_table(known_scores(model, model.words.join(often, "word", "left_semi")), len(model.langs)))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     marked = docs.select("doc_id", held.alias("held_out"), "text")
