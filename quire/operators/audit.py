@@ -10,6 +10,7 @@ from quire.functions.text import markish, token_class
 THIN, NOISY, NOISY_FLOOR, REDS_FROM = 0.45, 2.0, 0.25, 8
 LOW = 60
 LOPSIDED, TIGHT = 0.15, 0.012
+STRETCHES = 64
 
 
 def class_counts(words: DataFrame) -> DataFrame:
@@ -68,12 +69,26 @@ def upper_median(values: Column) -> Column:
 
 
 def sample_every(df: DataFrame, n: int, key: str = "src") -> DataFrame:
-    """Every n-th row in key order.  Places are counted in ranges, so no task sorts everything."""
-    ranked = df.repartitionByRange(key).sortWithinPartitions(key).withColumn("__part", F.spark_partition_id())
-    sizes = ranked.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
-    place = F.row_number().over(Window.partitionBy("__part").orderBy(key)) - 1
-    return ranked.withColumn("__place", place).join(F.broadcast(before), "__part").where((F.col("__place") + F.col("__before")) % n == 0).select(df.columns)
+    """Every n-th row in key order.
+
+    The key's range is cut at some of its own values, chosen by hash, so a row's stretch depends on the row alone; rows are
+    numbered within stretches, and no task sorts everything.
+    """
+    rows = df.count()
+    cuts = df.select(key).where(F.pmod(F.xxhash64(key), F.lit(max(1, rows // STRETCHES))) == 0).distinct().orderBy(key).limit(8 * STRETCHES).collect()
+    at = F.lit(0)
+    if cuts:
+        held = F.array(*[F.lit(r[0]) for r in cuts])
+        at = F.size(F.filter(held, lambda c: c <= F.col(key)))
+    cut = df.withColumn("__at", at)
+    # At most one row a stretch.
+    sizes = {r["__at"]: r["n"] for r in cut.groupBy("__at").agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, total = [], 0
+    for k in range(len(cuts) + 1):
+        before.append(total)
+        total += sizes.get(k, 0)
+    place = F.row_number().over(Window.partitionBy("__at").orderBy(key)) - 1 + F.element_at(F.array(*[F.lit(x) for x in before]), F.col("__at") + 1)
+    return cut.withColumn("__place", place).where(F.col("__place") % n == 0).select(df.columns)
 
 
 def proof_metrics(words: DataFrame, fixes: DataFrame) -> DataFrame:
@@ -89,3 +104,30 @@ def tag_counts(markup: DataFrame) -> DataFrame:
     """tag, n, pages of markup blocks (src, tag)."""
     per = markup.groupBy("src", "tag").agg(F.count(F.lit(1)).alias("n"))
     return per.groupBy("tag").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("pages"))
+
+
+def block_confidence(words: DataFrame) -> DataFrame:
+    """src, bi, mean: the mean confidence of each block's words, to a tenth."""
+    return words.groupBy("src", "bi").agg(F.bround(F.avg("conf"), 1).alias("mean"))
+
+
+def parts_by_size(pages: DataFrame, most: int | None = None) -> DataFrame:
+    """part, pages: parts by their number of pages, the largest first, ties by name."""
+    out = pages.groupBy("part").agg(F.count(F.lit(1)).alias("pages")).orderBy(F.desc("pages"), "part")
+    return out if most is None else out.limit(most)
+
+
+def by_deviation(rows: DataFrame, value: str, most: int, key: str = "src") -> tuple[DataFrame, int]:
+    """The ``most`` rows with the greatest value, ties by key, and how many more there are."""
+    return rows.orderBy(F.desc(value), key).limit(most), max(0, rows.count() - most)
+
+
+def first_addresses(hits: DataFrame, most: int = 12) -> DataFrame:
+    """The first ``most`` hits of a report in the order of their addresses as text (src, then "block.word")."""
+    address = F.concat_ws(".", F.col("bi").cast("string"), F.col("wi").cast("string"))
+    return hits.withColumn("address", address).orderBy("src", "address").limit(most)
+
+
+def top_tags(tags: DataFrame, most: int = 9) -> DataFrame:
+    """tag, n: the most frequent tags, ties by name."""
+    return tags.orderBy(F.desc("n"), "tag").limit(most)

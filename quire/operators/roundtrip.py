@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import bisect
 import difflib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EXCERPT = 12
@@ -22,17 +21,26 @@ def bag_difference(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def absent_run(source: DataFrame, there: DataFrame, group: str = "src", excerpt: int = EXCERPT) -> DataFrame:
-    """source: group, pos, word; there: group, word.  The first longest run of source words that are nowhere there."""
-    known = there.select(group, "word").distinct().withColumn("__known", F.lit(1))
-    flagged = source.join(known, [group, "word"], "left").where("__known IS NULL")
-    w = Window.partitionBy(group).orderBy("pos")
-    # Positions count every word, so a run is where position and rank keep step.
-    runs = flagged.select(group, "pos", "word", (F.col("pos") - F.row_number().over(w)).alias("__run"))
-    sized = runs.groupBy(group, "__run").agg(F.count(F.lit(1)).alias("run"), F.min("pos").alias("at"))
-    best = sized.groupBy(group).agg(F.max(F.struct("run", (-F.col("at")).alias("neg"))).alias("b")).select(group, F.col("b.run").alias("run"), (-F.col("b.neg")).alias("at"))
-    near = source.join(best, group).where((F.col("pos") >= F.col("at")) & (F.col("pos") < F.col("at") + F.least("run", F.lit(excerpt))))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), " ")
-    return near.groupBy(group, "run").agg(text.alias("excerpt"))
+    """source: group, pos, word; there: word, or group and word.  The first longest run of source words that are nowhere there, and how it begins."""
+    key = [c for c in (group, "word") if c in there.columns]
+    known = there.select(key).distinct().withColumn("__known", F.lit(True))
+    flagged = source.join(known, key, "left")
+    rows = flagged.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("pos", "word", F.coalesce("__known", F.lit(False)).alias("known")))).alias("w"))
+    return longest_absent(rows, group, excerpt)
+
+
+def longest_absent(rows: DataFrame, group: str = "src", excerpt: int = EXCERPT) -> DataFrame:
+    """rows: group, w (array<struct<pos, word, known>> in order).  One pass over each array; groups that lack nothing are left out."""
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("now"), F.lit(0).alias("run"), F.lit(0).alias("end"))
+
+    def step(acc: Column, w: Column) -> Column:
+        now = F.when(w["known"], 0).otherwise(acc["now"] + 1)
+        longer = now > acc["run"]
+        return F.struct((acc["at"] + 1).alias("at"), now.alias("now"), F.when(longer, now).otherwise(acc["run"]).alias("run"), F.when(longer, acc["at"] + 1).otherwise(acc["end"]).alias("end"))
+
+    best = rows.select(group, "w", F.aggregate("w", start, step).alias("b")).where("b.run > 0")
+    words = F.transform(F.slice("w", F.col("b.end") - F.col("b.run") + 1, F.least(F.col("b.run"), F.lit(excerpt))), lambda w: w["word"])
+    return best.select(group, F.col("b.run").cast("long").alias("run"), F.array_join(words, " ").alias("excerpt"))
 
 
 def occurrences(heads: DataFrame, stream: DataFrame, group: str = "src") -> DataFrame:
@@ -52,22 +60,33 @@ def occurrences(heads: DataFrame, stream: DataFrame, group: str = "src") -> Data
     return whole.select(group, "head", F.col("pos").cast(stream.schema["pos"].dataType).alias("pos"))
 
 
-def kept_in_order(pairs: list[tuple[int, int]]) -> set[int]:
-    """Headings on one longest strictly increasing run over (place, heading)."""
-    order = [head for _, head in sorted(pairs)]
-    ends: list[int] = []
-    last: list[int] = []
-    before: list[int] = []
-    for k, head in enumerate(order):
-        pile = bisect.bisect_left(ends, head)
-        ends[pile : pile + 1] = [head]
-        last[pile : pile + 1] = [k]
-        before.append(last[pile - 1] if pile else -1)
-    kept, k = set(), last[-1] if last else -1
-    while k >= 0:
-        kept.add(order[k])
-        k = before[k]
-    return kept
+def kept_in_order(places: pd.DataFrame) -> list[int]:
+    """Headings (pos, head) on one longest run that climbs in both.
+
+    Chains are ranked by length: a pair's rank is one more than the best rank among lesser headings at
+    earlier places, kept as running maxima in a Fenwick tree; the run is read off from the top rank down.
+    """
+    if places.empty:
+        return []
+    rows = places.sort_values(["pos", "head"]).drop_duplicates()
+    scale = pd.Index(rows["head"].unique()).sort_values()
+    at = scale.get_indexer(rows["head"]) + 1
+    best = [0] * (len(scale) + 1)
+    ranks = []
+    for k in at.tolist():
+        below, n = 0, k - 1
+        while n:
+            below, n = max(below, best[n]), n & (n - 1)
+        ranks.append(below + 1)
+        while k < len(best):
+            best[k], k = max(best[k], below + 1), k + (k & -k)
+    kept: list[int] = []
+    wanted = max(ranks)
+    for rank, head in zip(ranks[::-1], rows["head"].tolist()[::-1], strict=True):
+        if rank == wanted and (not kept or head < kept[-1]):
+            kept.append(head)
+            wanted -= 1
+    return kept[::-1]
 
 
 def moved_headings(heads: DataFrame, stream: DataFrame, group: str = "src") -> DataFrame:
@@ -75,7 +94,7 @@ def moved_headings(heads: DataFrame, stream: DataFrame, group: str = "src") -> D
     kind = heads.schema[group].dataType.simpleString()
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept = sorted(kept_in_order(list(zip(pdf["pos"].tolist(), pdf["head"].tolist(), strict=True))))
+        kept = sorted(set(kept_in_order(pdf[["pos", "head"]])))
         return pd.DataFrame({group: [pdf[group].iloc[0]] * len(kept), "head": kept})
 
     kept = occurrences(heads, stream, group).groupBy(group).applyInPandas(run, f"{group} {kind}, head int")
@@ -90,10 +109,41 @@ def drift_run(pairs: DataFrame, group: str = "src") -> DataFrame:
         for pdf in it:
             rows = []
             for key, a, b in zip(pdf[group], pdf["a"], pdf["b"], strict=True):
-                a, b = list(a), list(b)
+                a, b = ([] if x is None else ["" if w is None else w for w in x] for x in (a, b))
                 gaps = [(i2 - i1, -i1) for op, i1, i2, _, _ in difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes() if op in ("delete", "replace")]
                 size, at = max(gaps, default=(0, 0))
                 rows.append((key, size, " ".join(a[-at : -at + min(size, EXCERPT)])))
             yield pd.DataFrame(rows, columns=[group, "drift", "excerpt"])
 
     return pairs.select(group, "a", "b").mapInPandas(run, f"{group} {kind}, drift long, excerpt string")
+
+
+HEAD_FROM = 3  # letters that a heading of one word has more than
+
+
+def real_headings(heads: DataFrame) -> DataFrame:
+    """heads: words (array).  Headings of several words, or of one that is not a scrap."""
+    return heads.where((F.size("words") > 1) | (F.length(F.try_element_at("words", F.lit(1))) > HEAD_FROM))
+
+
+def bag_totals(lost: DataFrame, gained: DataFrame, part: str = "part") -> DataFrame:
+    """part, lost, gained: how many words each part lost and gained (lost, gained: part, word, n)."""
+    both = lost.select(part, F.col("n").alias("lost"), F.lit(0).cast("long").alias("gained")).unionByName(gained.select(part, F.lit(0).cast("long").alias("lost"), F.col("n").alias("gained")))
+    return both.groupBy(part).agg(F.sum("lost").alias("lost"), F.sum("gained").alias("gained"))
+
+
+def most_of(rows: DataFrame, keys: list[str], order: list[Column], most: int) -> DataFrame:
+    """rows with their ``place`` from 1 on, the first ``most`` of each group in the given order."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("place", F.row_number().over(w)).where(F.col("place") <= most)
+
+
+def part_report(parts: DataFrame, worst_run: int = 5) -> DataFrame:
+    """parts (run, moved) with a ``bad`` mark: a run of absent words beyond ``worst_run``, or a heading that moved."""
+    return parts.withColumn("bad", (F.coalesce("run", F.lit(0)) > worst_run) | (F.coalesce("moved", F.lit(0)) > 0))
+
+
+def verdict(parts: DataFrame) -> int:
+    """What a run of the report exits with: 0 if nothing is bad, 1 if something is, 2 if there is nothing to report on."""
+    r = parts.agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad")).first()
+    return 2 if not r.n else int(r.bad > 0)

@@ -1,8 +1,13 @@
-"""Self-witness: words that the corpus itself contradicts in the same context."""
+"""Self-witness: words that the corpus itself contradicts in the same context.
+
+A page's words lie in one row, so contexts are cut out of the array where it stands; what is
+shuffled is a 128-bit hash of the context and the word in its midst.  Only the contexts that these
+counts contradict are then read as words, and the same comparison on the words themselves decides.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import markish, norm
@@ -10,26 +15,50 @@ from quire.functions.text import markish, norm
 REACH, SUPPORT = 3, 2
 
 
-def contexts(words: DataFrame, reach: int = REACH) -> DataFrame:
-    """Each word of a page with its neighbours' keys; pages do not run into one another."""
-    kept = words.where(~markish(F.col("t"))).select("src", "bi", "wi", "t", "conf", norm(F.col("t")).alias("k"))
-    w = Window.partitionBy("src").orderBy("bi", "wi")
-    sides = [F.lag("k", n).over(w).alias(f"l{n}") for n in range(1, reach + 1)] + [F.lead("k", n).over(w).alias(f"r{n}") for n in range(1, reach + 1)]
-    around = kept.select("*", *sides)
-    full = F.lit(True)
-    for n in range(1, reach + 1):
-        full = full & F.col(f"l{n}").isNotNull() & F.col(f"r{n}").isNotNull()
-    # Words without a key are context for others but never a centre, so they go after the window.
-    return around.where(full & (F.col("k") != ""))
+def pages_of(words: DataFrame) -> DataFrame:
+    """src, words: array<struct<bi, wi, t, conf>> in reading order, one row a page."""
+    return words.groupBy("src").agg(F.array_sort(F.collect_list(F.struct("bi", "wi", "t", "conf"))).alias("words"))
+
+
+def _kept(pages: DataFrame) -> DataFrame:
+    """src, w: the words of a page that are no marks, with their keys."""
+    real = F.filter("words", lambda w: ~markish(w["t"]))
+    return pages.select("src", F.transform(real, lambda w: F.struct(w["bi"].alias("bi"), w["wi"].alias("wi"), w["t"].alias("t"), w["conf"].alias("conf"), norm(w["t"]).alias("k"))).alias("w"))
+
+
+def contexts(pages: DataFrame, reach: int = REACH) -> DataFrame:
+    """src, bi, wi, t, conf, k, around (the keys on either side), h1, h2 (its hash): each word with a key and whole context; pages do not run into one another."""
+    steps = [*range(-reach, 0), *range(1, reach + 1)]
+
+    def at(i: Column) -> Column:
+        w = F.element_at("w", i)
+        around = [F.element_at("w", i + s)["k"] for s in steps]
+        return F.struct(w["bi"].alias("bi"), w["wi"].alias("wi"), w["t"].alias("t"), w["conf"].alias("conf"), w["k"].alias("k"), F.array(*around).alias("around"), F.xxhash64(*around).alias("h1"), F.xxhash64(F.lit(reach), *around).alias("h2"))
+
+    long = _kept(pages).where(F.size("w") > 2 * reach)
+    cut = F.transform(F.sequence(F.lit(reach + 1), F.size("w") - reach), at)
+    # Words without a key are context for others but never a centre.
+    return long.select("src", F.inline(F.filter(cut, lambda c: c["k"] != "")))
+
+
+def _contradicted(around: DataFrame, key: list[str], support: int) -> DataFrame:
+    """key, k, book, seen: centres seen once where another is seen ``support`` times; ties go to the lesser word."""
+    counted = around.groupBy(*key, "k").agg(F.count(F.lit(1)).alias("n"))
+    said = counted.groupBy(*key).agg(F.min(F.when(F.col("n") >= support, F.struct((-F.col("n")).alias("n"), F.col("k").alias("k")))).alias("best"), F.collect_list(F.when(F.col("n") == 1, F.col("k"))).alias("once"))
+    hits = said.where("best IS NOT NULL AND size(once) > 0").select(*key, F.explode("once").alias("k"), F.col("best.k").alias("book"), (-F.col("best.n")).alias("seen"))
+    return hits.where("k <> book")
+
+
+def self_witness_pages(pages: DataFrame, reach: int = REACH, support: int = SUPPORT) -> DataFrame:
+    """src, bi, wi, is, book, seen, conf; pages: src, words (array<struct<bi, wi, t, conf>>)."""
+    around = contexts(pages, reach)
+    suspects = _contradicted(around.select("h1", "h2", "k"), ["h1", "h2"], support).select("h1", "h2").distinct()
+    # Every word of a suspected context, so that the counts of the words themselves are whole.
+    close = around.join(suspects, ["h1", "h2"], "left_semi")
+    hits = _contradicted(close, ["around"], support)
+    return close.join(hits, ["around", "k"]).select("src", "bi", "wi", F.col("t").alias("is"), "book", "seen", F.bround("conf").cast("long").alias("conf"))
 
 
 def self_witness(words: DataFrame, reach: int = REACH, support: int = SUPPORT) -> DataFrame:
-    """src, bi, wi, is, book, seen, conf: centres seen once where another is seen ``support`` times; ties go to the lesser word."""
-    ctx = [f"{s}{n}" for s in "lr" for n in range(1, reach + 1)]
-    around = contexts(words, reach)
-    counted = around.groupBy(*ctx, "k").agg(F.count(F.lit(1)).alias("n"))
-    book = counted.where(F.col("n") >= support).groupBy(*ctx).agg(F.min(F.struct((-F.col("n")).alias("n"), "k")).alias("best"))
-    once = counted.where("n = 1").select(*ctx, "k")
-    # Contradicted centres are few: they are found among counts before any page is looked at again.
-    hits = once.join(book, ctx).where("k <> best.k").select(*ctx, "k", F.col("best.k").alias("book"), (-F.col("best.n")).alias("seen"))
-    return around.join(hits, [*ctx, "k"]).select("src", "bi", "wi", F.col("t").alias("is"), "book", "seen", F.bround("conf").cast("long").alias("conf"))
+    """The same for a table of words: src, bi, wi, t, conf."""
+    return self_witness_pages(pages_of(words), reach, support)

@@ -1,11 +1,9 @@
 import random
 
-import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from quire.functions import text as fn
-from quire.operators import audit, cluster, fingerprint, imaging, joins, markup, merge, roundtrip
+from quire.operators import audit, cluster, fingerprint, joins, markup, merge, roundtrip
 from quire.operators.witness import self_witness
 
 
@@ -140,12 +138,18 @@ def test_cluster_values_and_rules(spark):
     assert df.select(cluster.cluster_values(F.col("v"), F.lit(5)), cluster.merged_rules(F.col("v"))).first()[:] == ([2, 21], [1, 20])
 
 
-def test_table():
-    w = lambda t, x, y: {"t": t, "x": x, "y": y, "w": 0}
-    rows, shares = cluster.lay_table([w("1", 5, 0), w("feast", 60, 0), w("more", 30, 20)], [0.25, 0.5], 10, 100)
-    assert rows == [["1", "", "feast"], ["", "more", ""]] and shares == [0.25, 0.25, 0.5]
-    rows, shares = cluster.lay_table([w("1", 5, 0), w("feast", 30, 0), w("on", 40, 20), w("|", 95, 0), w("|", 95, 40)], [0.2, 0.9], 10, 100)
-    assert rows == [["1", "feast on"], ["", ""]] and [round(s, 6) for s in shares] == [0.2, 0.8]
+def lay(spark, boxes, cuts, lean=0.0):
+    words = spark.createDataFrame([("p", t, x, y, 0) for t, x, y in boxes], "src string, t string, x int, y int, w int")
+    rows = cluster.table_rows(words, spark.createDataFrame([("p", cuts, lean)], "src string, cols array<double>, lean double"), 10, 100).orderBy("row").collect()
+    return [r.cells for r in rows], [round(x, 6) for x in rows[0].widths]
+
+
+def test_table(spark):
+    assert lay(spark, [("1", 5, 0), ("feast", 60, 0), ("more", 30, 20)], [0.25, 0.5]) == ([["1", "", "feast"], ["", "more", ""]], [0.25, 0.25, 0.5])
+    assert lay(spark, [("1", 5, 0), ("feast", 30, 0), ("on", 40, 20), ("|", 95, 0), ("|", 95, 40)], [0.2, 0.9]) == ([["1", "feast on"], ["", ""]], [0.2, 0.8])
+    # Guides that lean: the top of the page moves one way, its foot the other.
+    boxes = [("a", 52, 0), ("b", 48, 100)]
+    assert lay(spark, boxes, [0.5])[0] == [["b", "a"]] and lay(spark, boxes, [0.5], 5.0)[0] == [["a", ""], ["", "b"]]
 
 
 FIX = "src int, bi int, wi int, was string, now string, after string"
@@ -169,6 +173,60 @@ def test_fixes(spark):
     assert applied(spark, "a bc d", [(1, 0, 1, "bc", "b c", None)]) == "a b c d"
     assert verdicts(spark, "a b c d", [(1, 0, 1, "bc", "b c", None)]) == [(1, merge.AGAIN)]
     assert verdicts(spark, "b c", [(1, 0, 0, "a", "", "b")]) == [(0, merge.CHANGED)]
+    assert verdicts(spark, "a b", [(1, 0, 0, "a", "c", None), (1, 0, 1, "b", "", None)]) == [(0, merge.DONE), (1, merge.DONE)]
+    got = merge.apply_fixes(words_of(spark, "abc d"), spark.createDataFrame([(1, 0, 0, "abc", "a bc", None)], FIX)).orderBy("wi").collect()
+    assert [(r.wi, r.t, r.x, r.w, r.conf) for r in got] == [(0, "a", 0, 2, 100.0), (1, "bc", 4, 3, 100.0), (2, "d", 10, 6, 90.0)]
+
+
+def slow_fixes(words, fixes):
+    """One page's words and its fixes, last address first, in plain lists."""
+    here, then, said = list(words), list(words), []
+    for wi, was, now, after in sorted(fixes, reverse=True, key=lambda f: f[0]):
+        parts = (now or "").split()
+        if wi >= len(here):
+            said.append((wi, merge.NO_WORD))
+        elif parts and here[wi : wi + len(parts)] == parts:
+            said.append((wi, merge.AGAIN))
+        elif here[wi] != was:
+            said.append((wi, merge.CHANGED))
+        elif not parts and after is not None and (then[wi + 1] if wi + 1 < len(then) else None) != after:
+            said.append((wi, merge.NEIGHBOUR))
+        else:
+            said.append((wi, merge.DONE))
+            here[wi : wi + 1] = parts
+    return here, sorted(said)
+
+
+def test_fixes_equal_a_loop(spark):
+    rng = random.Random(6)
+    pages, fixes = {}, {}
+    for src in range(60):
+        pages[src] = [rng.choice("abc") for _ in range(rng.randint(1, 7))]
+        fixes[src] = [(wi, rng.choice("abc"), rng.choice(["", "a", "b c", "a b c", None, "c"]), rng.choice([None, "a", "b"])) for wi in rng.sample(range(9), rng.randint(0, 5))]
+    rows = [(s, 0, 0, k, "black", t, 90.0, 10 * k, 0, 6, 10) for s, p in pages.items() for k, t in enumerate(p)]
+    words = spark.createDataFrame(rows, "src int, part int, bi int, wi int, layer string, t string, conf double, x int, y int, w int, h int")
+    df = spark.createDataFrame([(s, 0, *f) for s, fs in fixes.items() for f in fs], FIX)
+    texts = {r.src: r.text for r in merge.fixed_texts(words, df).collect()}
+    told = {}
+    for r in merge.fix_verdicts(words, df).collect():
+        told.setdefault(r.src, []).append((r.wi, r.verdict))
+    for s in pages:
+        here, said = slow_fixes(pages[s], fixes[s])
+        assert texts[s] == " ".join(here) and sorted(told.get(s, [])) == said
+    assert len({v for x in told.values() for _, v in x}) == 5
+
+
+def test_correction_records(spark):
+    kind = "src string, full boolean, note string, cols array<double>, lean double, fix map<string,string>, str map<string,struct<do:string,was:string>>"
+    records = spark.createDataFrame([("p", True, "", [0.2], None, None, {"1": {"do": "up", "was": "x"}}), ("q", None, "see", None, 1.0, None, None), ("r", False, None, [], None, {}, {})], kind)
+    assert sorted(r.src for r in merge.worth_keeping(records).collect()) == ["p", "q"]
+    kept = spark.createDataFrame([("p", {"1": {"do": "down", "was": "y"}, "2": {"do": "open", "was": "z"}}, None, 2.0), ("r", {}, [0.5], 1.5)], "src string, ops map<string,struct<do:string,was:string>>, cols array<double>, lean double")
+    got = {r.src: ({k: v.do for k, v in r.ops.items()}, r.cols, r.lean) for r in merge.persist_structure(kept, records).collect()}
+    assert got == {"p": ({"1": "up", "2": "open"}, [0.2], 0.0), "r": ({}, [0.5], 1.5)}
+    drafts = spark.createDataFrame([("p", None, "old"), ("q", True, "old"), ("s", False, None)], "src string, proofed boolean, note string")
+    assert sorted(map(tuple, merge.page_fields(drafts, records).collect())) == [("p", True, "old"), ("q", True, "see"), ("s", False, None)]
+    said = spark.createDataFrame([(merge.DONE, 1), (merge.DONE, 3), (merge.DONE, 0), (merge.AGAIN, 1), (merge.CHANGED, 1)], "verdict string, parts int")
+    assert merge.correction_report(said, records).first().asDict() == {"changed": 2, "cut": 1, "added": 2, "again": 1, "refused": 1, "notes": 1, "blocks": 1, "tables": 1}
 
 
 def test_setwise_deletion_agrees_with_the_fold(spark):
@@ -181,6 +239,8 @@ def test_merge_keeps_human_fields(spark):
     new = spark.createDataFrame([("p", None, 1), ("q", None, 2)], "src string, note string, n int")
     old = spark.createDataFrame([("p", "seen", 0)], "src string, note string, n int")
     assert sorted(map(tuple, merge.keep_fields(new, old, "src", ["note"]).collect())) == [("p", "seen", 1), ("q", None, 2)]
+    empty = spark.createDataFrame([("p", "", 0)], "src string, note string, n int")
+    assert sorted(map(tuple, merge.keep_fields(new.fillna("x"), empty, "src", ["note", "n"]).collect())) == [("p", "x", 1), ("q", "x", 2)]
     rows = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b")], "key string, at int, v string")
     assert [tuple(r) for r in merge.latest(rows, ["key"], [F.col("at")]).collect()] == [("k", 2, "b")]
 
@@ -188,12 +248,33 @@ def test_merge_keeps_human_fields(spark):
 PAGE = "#src p\n\n.text\na\nb\n.rubric\nc\n.text d\n"
 
 
-def test_replay():
-    assert markup.replay(PAGE, {})[0] == PAGE
-    text, done, refused = markup.replay(PAGE, {"1": {"do": "join", "was": "c"}, "0": {"do": "up", "was": "a\nb"}, "9": {"do": "down", "was": "d"}})
+def replay(spark, text, ops):
+    pages = spark.createDataFrame([("p", text)], "src string, text string")
+    held = spark.createDataFrame([("p", ops)], "src string, ops map<string,struct<do:string,was:string>>")
+    return tuple(markup.replay_pages(pages, held).select("text", "done", "refused").first())
+
+
+def test_replay(spark):
+    assert replay(spark, PAGE, {})[0] == PAGE
+    text, done, refused = replay(spark, PAGE, {"1": {"do": "join", "was": "c"}, "0": {"do": "up", "was": "a\nb"}, "9": {"do": "down", "was": "d"}})
     assert (done, refused) == (1, 2) and text == "#src p\n\n.text\na\nb\nc\n.text d\n"
-    assert markup.replay(PAGE, {"1": {"do": "open", "was": "c"}, "7": {"do": "open", "was": "c"}})[1:] == (1, 0)
-    assert ".open red" in markup.replay(PAGE, {"1": {"do": "open", "was": "c"}})[0]
+    assert replay(spark, PAGE, {"1": {"do": "open", "was": "c"}, "7": {"do": "open", "was": "c"}})[1:] == (1, 0)
+    assert ".open red" in replay(spark, PAGE, {"1": {"do": "open", "was": "c"}})[0]
+    assert replay(spark, PAGE, {"0": {"do": "down", "was": "a\nb"}})[0] == "#src p\n\n.rubric\nc\n.text\na\nb\n.text d\n"
+    assert replay(spark, PAGE, {"2": {"do": "join", "was": "d"}})[0] == "#src p\n\n.text\na\nb\n.rubric\nc\nd\n"
+    # Numbers that are none, unknown actions, pages that are null.
+    assert replay(spark, PAGE, {"x": {"do": "up", "was": "c"}})[1:] == (1, 0)
+    assert replay(spark, PAGE, {"1": {"do": "spin", "was": "c"}})[1:] == (0, 1)
+    assert replay(spark, None, {"1": {"do": "up", "was": "c"}}) == (None, 0, 1)
+
+
+def test_lines_that_open_blocks(spark):
+    """A bare dot and a # after the first tag open blocks; blank lines go; an inline of blanks is none."""
+    text = "x\n#src p\n.text  \n\na\n.\nb\n#note c\nd\n"
+    pages = spark.createDataFrame([("p", text)], "src string, text string")
+    got = [(r.bi, r.tag, r.inline, r.lines) for r in markup.blocks_of(pages).orderBy("bi").collect()]
+    assert got == [(0, "text", None, ["a"]), (1, "", None, ["b"]), (2, "#note", "c", ["d"])]
+    assert replay(spark, text, {"2": {"do": "up", "was": "c\nd"}})[0] == "#src p\n\n.text\na\n#note c\nd\n.\nb\n"
 
 
 def test_blocks(spark):
@@ -202,12 +283,20 @@ def test_blocks(spark):
     assert got == [(0, "text", None, ["a", "b"]), (1, "rubric", None, ["c"]), (2, "text", "d", [])]
 
 
-def test_typeset():
-    out, unknown = markup.typeset(".text\ncom-\npanions {red} a * b ** c\n.ant 7\nx\n.open\nSing to\n.nosuch\n")
+def typeset(spark, text):
+    r = markup.typeset_pages(spark.createDataFrame([("p", text)], "src string, text string")).first()
+    return r.tex.split("\n"), r.unknown
+
+
+def test_typeset(spark):
+    out, unknown = typeset(spark, ".text\ncom-\npanions {red} a * b ** c\n.ant 7\nx\n.open\nSing to\n.nosuch\n")
     assert out == [r"\begin{brevbody}", r"companions \rubric{red} a \med{} b ** c", "", r"\ant{7}%", "x", "", r"\opening[black]{S}{ing} to", "", r"\end{brevbody}"]
     assert unknown == ["nosuch"]
-    out, _ = markup.typeset(".table 0.25 0.75\na | b & c\n.title\nOne\nTwo\n")
+    out, _ = typeset(spark, ".table 0.25 0.75\na | b & c\n.title\nOne\nTwo\n")
     assert out[1] == r"a & b \& c \\" and out[-1] == r"\displaytitle{One \\ Two}"
+    out, _ = typeset(spark, "#office A & B\n#hour Lauds\n.rubric\nOn {Sunday}, * {*}\n.widerubric\nAll\n.table x\na|b\n.heading {x} y\n.rule black\n")
+    assert out == [r"\office{A \& B}", "% hour: Lauds", r"\begin{brevbody}", r"\begin{rubricpar}", r"On \textcolor{black}{Sunday}, \med{} \textcolor{black}{\med{}}", "", r"\end{rubricpar}", r"\end{brevbody}", r"\begin{rubricpar}", "All", "", r"\end{rubricpar}", r"\begin{brevtable}{p{\dimexpr 1.0000\linewidth-2\tabcolsep\relax}}", r"a \\", r"\end{brevtable}", r"\begin{brevbody}", r"\heading{\textcolor{black}{x} y}", r"\blackrule", r"\end{brevbody}"]
+    assert typeset(spark, None) == ([""], [])
 
 
 def test_tag_safe(spark):
@@ -231,21 +320,17 @@ def test_sample_every(spark):
     assert sorted(r.src for r in audit.sample_every(spark.range(50).selectExpr("id AS src"), 20).collect()) == [0, 20, 40]
 
 
-def test_images(spark):
-    page = np.full((60, 40, 3), 255, np.uint8)
-    page[5:50, 3:5] = 20
-    page[20:30, 20:30] = (220, 20, 20)
-    red, black = imaging.inks(page)
-    assert red.sum() == 100 and black.sum() == 90
-    assert imaging.components(red | black) == [(3, 5, 2, 45, 90), (20, 20, 10, 10, 100)]
-    assert imaging.runs(np.array([0, 1, 1, 0, 1], bool)) == [(1, 3), (4, 5)] and imaging.longest_run(np.array([1, 0, 1, 1], bool), 1) == (0, 4)
-    assert imaging.longest_down(black)[3] == 45 and imaging.furniture_columns(black)[[3, 20]].tolist() == [True, False]
-    assert imaging.grow(red, 1).sum() == 144
-    df = spark.createDataFrame([("p", 60, 40, bytearray(page.tobytes())), ("q", 60, 40, bytearray(b"x"))], "src string, h int, w int, rgb binary")
-    got = {r.src: r for r in imaging.measure_pages(df).collect()}
-    assert got["p"].error is None and got["p"].cols == 2 and got["q"].error
-
-
-@pytest.mark.parametrize("order", [[(0, 0), (1, 2), (2, 1)], []])
-def test_kept_in_order(order):
-    assert roundtrip.kept_in_order(order) == ({0, 1} if order else set())
+def test_kept_in_order():
+    import itertools
+
+    import pandas as pd
+
+    rng = random.Random(8)
+    assert roundtrip.kept_in_order(pd.DataFrame({"pos": [], "head": []})) == []
+    for _ in range(60):
+        pairs = [(rng.randint(0, 6), rng.randint(0, 6)) for _ in range(rng.randint(1, 8))]
+        got = roundtrip.kept_in_order(pd.DataFrame(pairs, columns=["pos", "head"]))
+        order = [h for _, h in sorted(set(pairs))]
+        longest = max(len(c) for n in range(len(order) + 1) for c in itertools.combinations(order, n) if all(a < b for a, b in zip(c, c[1:])))
+        it = iter(order)
+        assert len(got) == longest and all(h in it for h in got) and got == sorted(set(got))
