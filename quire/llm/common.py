@@ -6,6 +6,7 @@ Everything that must outlive one stage goes to the folder named in ``spark.check
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zlib
@@ -49,7 +50,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialized tables that nothing reads any more, and let go of the shuffles of finished steps."""
+    for t in tables:
+        at = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.written_to)
+        at.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def new_name(name: str, taken: list[str]) -> str:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize, salt, salted_groups
+from quire.llm.common import discard, materialize, salt, salted_groups
 
 
 def _with_least(pairs: DataFrame) -> DataFrame:
@@ -40,6 +40,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         mark = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if mark == before or mark.n == 0:
             break
-        before = mark
-        now = materialize(_small(_large(now)), "links")
+        before, last = mark, now
+        now = materialize(_small(_large(last)), "links")
+        discard(last)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

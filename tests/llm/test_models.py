@@ -140,11 +140,10 @@ def test_lm_is_normalised(docs):
         assert abs(total - 1) < 1e-3
 
 
-def test_training_windows_follow_the_texts(spark, docs, monkeypatch):
+def test_training_windows_follow_the_texts(spark, docs):
     ids = lm_scoring.ids_for(BPE)
     for step in (256, 4096):
-        monkeypatch.setattr(lm_scoring, "STEP", step)
-        rows = lm_scoring.windows_of(docs.select("doc_id", "text"), BPE).collect()
+        rows = lm_scoring.windows_of(docs.select("doc_id", "text"), BPE, step).collect()
         before, own = (np.frombuffer(b"".join(bytes(r[c]) for r in rows), "<u4").reshape(-1, lm_scoring.WINDOW) for c in ("before", "ids"))
         assert (before[:, 1:] == own[:, :-1]).all()
         every = lm_scoring.coded(pa.array([r.text for r in docs.collect()]), ids).out
