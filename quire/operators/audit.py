@@ -112,8 +112,8 @@ def block_confidence(words: DataFrame) -> DataFrame:
 
 
 def parts_by_size(pages: DataFrame, most: int | None = None) -> DataFrame:
-    """part, pages: parts by their number of pages, the largest first, ties by name."""
-    out = pages.groupBy("part").agg(F.count(F.lit(1)).alias("pages")).orderBy(F.desc("pages"), "part")
+    """part, pages: parts by their number of pages, the smallest first, ties by name."""
+    out = pages.groupBy("part").agg(F.count(F.lit(1)).alias("pages")).orderBy("pages", "part")
     return out if most is None else out.limit(most)
 
 

@@ -44,3 +44,16 @@ def block_faults(blocks: DataFrame) -> DataFrame:
 def sheet_stamp(pages: DataFrame, label: Column, key: list[str]) -> DataFrame:
     """key, stamp: first 12 hex digits of SHA-256 over the sorted labels of a sheet's pages."""
     return pages.groupBy(*key).agg(F.substring(F.sha2(F.array_join(F.array_sort(F.collect_list(label)), ""), 256), 1, 12).alias("stamp"))
+
+
+def page_fingerprints(words: DataFrame, markup: DataFrame, position: list[str]) -> DataFrame:
+    """src, words, shape, n, markup: a page's fingerprints with that of its markup (src, text), null where none was made."""
+    own = words.withColumn("shape", F.concat_ws(",", *[F.col(c).cast("string") for c in ("x", "y", "w", "h")]))
+    made = markup.select("src", F.substring(F.sha2("text", 256), 1, 16).alias("markup"))
+    return fingerprints(own, position, shape="shape").join(made, "src", "left")
+
+
+def page_faults(blocks: DataFrame, prints: DataFrame) -> DataFrame:
+    """src, fault: pages whose words and texts differ, by their first block, and pages without markup (prints: src, markup)."""
+    split = block_faults(blocks).select("src", F.concat(F.lit("block "), F.col("bi").cast("string")).alias("fault"))
+    return split.unionByName(prints.where("markup IS NULL").select("src", F.lit("no markup").alias("fault")))

@@ -6,13 +6,13 @@ words, with made-up confidences and boxes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as fn
-from quire.operators import audit, cluster, fingerprint, joins, markup, merge, roundtrip
-from quire.operators.witness import self_witness
-from quire.sources.readers import document_blocks, document_words, table
+from quire.operators import audit, cluster, fingerprint, imaging, joins, markup, merge, roundtrip, structure
+from quire.operators.witness import self_witness_pages
+from quire.sources.readers import document_blocks, document_pages, document_words, table
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -112,7 +112,7 @@ hits AS (SELECT c.*, book, seen FROM counted c JOIN book USING ({CTX}) WHERE c.n
 SELECT src, bi, wi, t AS is, book, seen, CAST(round_even(conf, 0) AS BIGINT) AS conf FROM around JOIN hits USING ({CTX}, k)"""
 )
 def self_witness_query(spark, d):
-    return self_witness(words(spark, d))
+    return self_witness_pages(document_pages(docs(spark, d)))
 
 
 def _turns(spark, d):
@@ -182,9 +182,7 @@ SELECT z.src, run, string_agg(s.word, ' ' ORDER BY s.pos) AS excerpt FROM z JOIN
 def absent_run(spark, d):
     letters = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]+)"), 1)
     source = docs(spark, d).select(F.col("doc_id").alias("src"), F.posexplode(letters).alias("pos", "word"))
-    known = table(spark, d, "benchmark").select(F.explode(letters).alias("word")).distinct()
-    flagged = source.join(known, "word", "left_semi").select("src", "word").distinct()
-    return roundtrip.absent_run(source, flagged)
+    return roundtrip.absent_run(source, table(spark, d, "benchmark").select(F.explode(letters).alias("word")))
 
 
 @query("SELECT page_id, url FROM pages WHERE regexp_matches(url, '^.*/[0-4].*$') OR regexp_matches(url, '^https://.*7$') OR regexp_matches(url, '^.*[^a-m]e.$')")
@@ -223,16 +221,46 @@ def stray_deletions(spark, d):
     return merge.stray_deletions(words(spark, d))
 
 
-@query(f"WITH {WORDS} SELECT src, bi, coalesce(string_agg(t, ' ' ORDER BY wi) FILTER (NOT {STRAY}), '') AS text FROM words GROUP BY src, bi")
+#: Corrections of every kind, chosen by confidence: strays deleted, words replaced and split, words that read otherwise,
+#: words that are so already, deletions before another word, and an address beyond each block.
+FIXES = f"""nx AS (SELECT *, lead(t) OVER (PARTITION BY src, bi ORDER BY wi) AS nx FROM words),
+fixes AS (SELECT src, bi, wi, t, nx,
+    CASE WHEN conf = 4 AND NOT {STRAY} THEN t || '?' ELSE t END AS was,
+    CASE WHEN {STRAY} THEN '' WHEN conf < 3 THEN t || '+' WHEN conf = 3 THEN '§ ' || t WHEN conf = 4 THEN '§' WHEN conf = 5 THEN t WHEN conf IN (6, 7) THEN '' END AS now,
+    CASE WHEN {STRAY} OR conf = 7 THEN nx WHEN conf = 6 THEN '§' END AS after FROM nx WHERE {STRAY} OR conf < 8),
+judged AS (SELECT *, CASE WHEN now = t THEN 'again' WHEN was <> t THEN 'word changed' WHEN now = '' AND after IS NOT NULL AND after IS DISTINCT FROM nx THEN 'another word follows' ELSE 'done' END AS verdict FROM fixes)"""
+
+
+def _corrections(w: DataFrame) -> DataFrame:
+    page = Window.partitionBy("src", "bi").orderBy("wi")
+    nx, gone, conf = F.lead("t").over(page), fn.stray(F.col("t")), F.col("conf")
+    now = F.when(gone, "").when(conf < 3, F.concat("t", F.lit("+"))).when(conf == 3, F.concat(F.lit("§ "), "t")).when(conf == 4, "§").when(conf == 5, F.col("t")).when(conf < 8, "")
+    asked = w.withColumn("nx", nx).where(gone | (conf < 8))
+    was = F.when((conf == 4) & ~gone, F.concat("t", F.lit("?"))).otherwise(F.col("t"))
+    fixes = asked.select("src", "bi", "wi", was.alias("was"), now.alias("now"), F.when(gone | (conf == 7), F.col("nx")).when(conf == 6, "§").alias("after"))
+    beyond = w.where("wi = 0").select("src", "bi", F.lit(1_000_000).alias("wi"), F.col("t").alias("was"), F.lit("x").alias("now"), F.lit(None).cast("string").alias("after"))
+    return fixes.unionByName(beyond)
+
+
+@query(
+    f"WITH {WORDS}, {FIXES} SELECT w.src, w.bi, coalesce(string_agg(CASE WHEN j.verdict = 'done' THEN j.now ELSE w.t END, ' ' ORDER BY w.wi) FILTER (j.verdict IS NULL OR j.verdict <> 'done' OR j.now <> ''), '') AS text "
+    "FROM words w LEFT JOIN judged j ON j.src = w.src AND j.bi = w.bi AND j.wi = w.wi GROUP BY w.src, w.bi"
+)
 def apply_fixes(spark, d):
+    w = words(spark, d)
+    return merge.fixed_texts(w, _corrections(w))
+
+
+@query(f"WITH {WORDS}, {STRAYS} SELECT src, bi, coalesce(string_agg(t, ' ' ORDER BY wi) FILTER (NOT {STRAY}), '') AS text FROM words GROUP BY src, bi")
+def stray_free_blocks(spark, d):
     w = words(spark, d)
     return merge.delete_words(w, merge.stray_deletions(w))
 
 
-@query(f"WITH {WORDS}, {STRAYS} SELECT 'done' AS verdict, count(*) AS n FROM strays HAVING count(*) > 0")
+@query(f"WITH {WORDS}, {FIXES} SELECT verdict, count(*) AS n FROM (SELECT verdict FROM judged UNION ALL SELECT 'no such word' FROM words WHERE wi = 0) v GROUP BY verdict")
 def replay_verdicts(spark, d):
     w = words(spark, d)
-    return merge.verdict_counts(merge.fix_verdicts(w, merge.stray_deletions(w)))
+    return merge.verdict_counts(merge.fix_verdicts(w, _corrections(w)))
 
 
 @query("SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
@@ -290,40 +318,65 @@ def drift_run(spark, d):
     return roundtrip.drift_run(p.withColumn("b", F.filter("a", lambda x: F.length(x) % 5 != 0)))
 
 
-@query()
+def _anchored(rows: str, tol: str) -> str:
+    """Groups of the rows (src, y): the next one begins at the least y beyond the tolerance from the first of the last."""
+    return f"""tols AS (SELECT src, 0.6 * CASE WHEN m = 0 THEN 1 ELSE m END AS tol FROM (SELECT src, list_sort(list({tol}))[len(list({tol})) // 2 + 1] AS m FROM {rows} GROUP BY src) q),
+firsts AS (SELECT src, min(y) AS first, 0 AS line FROM {rows} GROUP BY src
+  UNION ALL SELECT f.src, min(r.y), f.line + 1 FROM firsts f JOIN tols t ON t.src = f.src JOIN {rows} r ON r.src = f.src AND r.y > f.first + t.tol GROUP BY f.src, f.line),
+placed AS (SELECT r.*, f.line, f.first FROM {rows} r JOIN (SELECT *, lead(first) OVER (PARTITION BY src ORDER BY line) AS next FROM firsts) f ON f.src = r.src AND r.y >= f.first AND (f.next IS NULL OR r.y < f.next))"""
+
+
+@query(f"WITH RECURSIVE {WORDS}, {_anchored('words', 'h')} SELECT src, CAST(line AS INTEGER) AS line, CAST(min(y) AS INTEGER) AS y, string_agg(t, ' ' ORDER BY x, y, t) AS text FROM placed GROUP BY src, line")
 def line_clusters(spark, d):
-    return cluster.group_lines(words(spark, d), ["src", "bi"])
+    return cluster.group_lines(words(spark, d), ["src"])
 
 
-@query()
+SAID = "said AS (SELECT conv_id AS src, CASE WHEN role = 'assistant' THEN 'black' ELSE 'red' END AS layer, CAST(turn * 4 AS INTEGER) AS y, CAST(turn % 3 * 50 AS INTEGER) AS x, 10 AS h, text FROM conversations)"
+
+
+@query(
+    f"""WITH RECURSIVE {SAID}, {_anchored('said', 'h')},
+o AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY line, x, y, layer, text) AS n FROM placed), g AS (SELECT *, n - row_number() OVER (PARTITION BY src, layer ORDER BY n) AS g FROM o),
+b AS (SELECT src, layer, min(n) AS n, string_agg(text, chr(10) ORDER BY n) AS text FROM g GROUP BY src, layer, g)
+SELECT src, CAST(row_number() OVER (PARTITION BY src ORDER BY n) - 1 AS INTEGER) AS bi, layer, text FROM b"""
+)
 def layer_merge(spark, d):
-    said = table(spark, d, "conversations").select(F.col("conv_id").alias("src"), F.when(F.col("role") == "assistant", "black").otherwise("red").alias("layer"), (F.col("turn") * 7).cast("int").alias("y"), (F.col("turn") % 3 * 50).cast("int").alias("x"), F.lit(10).alias("h"), "text")
+    said = table(spark, d, "conversations").select(F.col("conv_id").alias("src"), F.when(F.col("role") == "assistant", "black").otherwise("red").alias("layer"), (F.col("turn") * 4).cast("int").alias("y"), (F.col("turn") % 3 * 50).cast("int").alias("x"), F.lit(10).alias("h"), "text")
     return cluster.merge_layers(said)
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {WORDS}, ten AS (SELECT src, y, x, w, t, 10 AS h FROM words), {_anchored('ten', 'h')},
+c AS (SELECT *, (x + w / 2.0 >= 200)::INT + (x + w / 2.0 >= 600)::INT + (x + w / 2.0 >= 900)::INT AS cell FROM placed),
+l AS (SELECT src, line, (bool_or(cell <> 3) OR line = 0)::INT AS opens FROM c GROUP BY src, line), r AS (SELECT src, line, sum(opens) OVER (PARTITION BY src ORDER BY line) - 1 AS row FROM l),
+k AS (SELECT src, cell, 2 * count(*) FILTER (NOT regexp_matches(t, '[^|\\\\{{}}~_=<>\\s]')) <= count(*) AS ok FROM c GROUP BY src, cell),
+s AS (SELECT p.src, v.cell, v.share FROM (SELECT DISTINCT src FROM c) p, (VALUES (0, 0.1), (1, 0.2), (2, 0.15), (3, 0.55)) AS v(cell, share)),
+e AS (SELECT s.src, s.cell, s.share, coalesce(k.ok, false) OR NOT bool_or(coalesce(k.ok, false)) OVER (PARTITION BY s.src) AS ok FROM s LEFT JOIN k ON k.src = s.src AND k.cell = s.cell),
+w AS (SELECT src, string_agg(CAST(CAST(round(share + CASE WHEN cell = last THEN 1 - total ELSE 0 END, 6) * 1000000 AS BIGINT) AS VARCHAR), ' ' ORDER BY cell) AS widths FROM (SELECT *, max(cell) OVER (PARTITION BY src) AS last, sum(share) OVER (PARTITION BY src) AS total FROM e WHERE ok) q GROUP BY src),
+f AS (SELECT r.src, r.row, e.cell, coalesce(trim(replace(string_agg(c.t, ' ' ORDER BY c.line, c.x, c.y, c.t) FILTER (c.cell = e.cell), '|', '')), '') AS body FROM r JOIN e ON e.src = r.src AND e.ok JOIN c ON c.src = r.src AND c.line = r.line GROUP BY r.src, r.row, e.cell)
+SELECT f.src, CAST(f.row AS INTEGER) AS row, string_agg(f.body, ' | ' ORDER BY f.cell) AS cells, any_value(w.widths) AS widths FROM f JOIN w ON w.src = f.src GROUP BY f.src, f.row"""
+)
 def table_rows(spark, d):
     p = docs(spark, d)
-    w = document_words(p)
     guides = p.select(F.col("doc_id").alias("src"), F.array(F.lit(0.1), F.lit(0.3), F.lit(0.45)).alias("cols"), F.lit(0.0).alias("lean"))
-    return cluster.table_rows(w, guides, 10.0, 2000.0)
+    rows = cluster.table_rows(document_words(p), guides, 10.0, 2000.0)
+    return rows.select("src", "row", F.array_join("cells", " | ").alias("cells"), F.array_join(F.transform("widths", lambda x: (F.round(x, 6) * 1_000_000).cast("long").cast("string")), " ").alias("widths"))
 
 
-def _marked_lines(spark, d):
-    """Every fourth line of a document tagged as a block."""
-    b = document_blocks(docs(spark, d))
-    tag = F.when(F.col("bi") % 4 == 0, F.concat(F.lit(".text "), "text")).when(F.col("bi") % 4 == 2, F.lit(".rubric")).otherwise(F.concat(F.lit(" "), "text"))
-    return b.select("src", F.col("bi").alias("line_no"), tag.alias("line"))
+def _marked_pages(spark, d):
+    """Markup pages (src, text): every fourth line of a document opens a block with text on its line, every other fourth one without."""
+    line = lambda x, k: F.when(k % 4 == 0, F.concat(F.lit(".text "), x)).when(k % 4 == 2, F.lit(".rubric")).otherwise(F.concat(F.lit(" "), x))
+    return docs(spark, d).select(F.col("doc_id").alias("src"), F.concat(F.array_join(F.transform(F.split("text", "\n"), line), "\n"), F.lit("\n")).alias("text"))
 
 
-@query(
-    f"""WITH {BLOCKS}, l AS (SELECT src, bi AS line_no, CASE WHEN bi % 4 = 0 THEN '.text ' || text WHEN bi % 4 = 2 THEN '.rubric' ELSE ' ' || text END AS line, CAST(bi % 2 = 0 AS INTEGER) AS tagged FROM blocks),
-n AS (SELECT *, CAST(sum(tagged) OVER (PARTITION BY src ORDER BY line_no) - 1 AS INTEGER) AS bi FROM l)
-SELECT src, bi, CASE WHEN max(line) FILTER (tagged = 1) LIKE '.text%' THEN 'text' ELSE 'rubric' END AS tag, CASE WHEN max(line) FILTER (tagged = 1) LIKE '.text%' THEN substr(max(line) FILTER (tagged = 1), 7) END AS inline,
-       coalesce(string_agg(line, '/' ORDER BY line_no) FILTER (tagged = 0), '') AS lines FROM n GROUP BY src, bi"""
-)
+#: Blocks of those pages: a line and the one below it, blank ones left out.
+MARKED = f"""{BLOCKS}, l AS (SELECT src, bi // 2 AS bi, bi % 4 AS k, CASE WHEN bi % 4 = 2 THEN '' ELSE text END AS text FROM blocks),
+marked AS (SELECT src, CAST(bi AS INTEGER) AS bi, CASE WHEN bi % 2 = 0 THEN 'text' ELSE 'rubric' END AS tag, max(text) FILTER (k = 0 AND trim(text) <> '') AS inline, coalesce(max(' ' || text) FILTER (k % 2 = 1 AND trim(text) <> ''), '') AS lines FROM l GROUP BY src, bi)"""
+
+
+@query(f"WITH {MARKED} SELECT * FROM marked")
 def blocks_from_markup(spark, d):
-    return markup.blocks_from_lines(_marked_lines(spark, d)).withColumn("lines", F.array_join("lines", "/"))
+    return markup.blocks_of(_marked_pages(spark, d)).withColumn("lines", F.array_join("lines", "/"))
 
 
 @query(r"SELECT doc_id AS src, regexp_replace(regexp_replace(text, '-[ ]*\n[ ]*(\p{Ll})', '\1', 'g'), '[ ]*\n[ ]*', ' ', 'g') AS text FROM documents")
@@ -422,15 +475,125 @@ def html_escape(spark, d):
 
 @query()
 def typeset_pages(spark, d):
-    lines = _marked_lines(spark, d)
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n")
-    return markup.typeset_pages(lines.groupBy("src").agg(text.alias("text"))).select("src", "tex")
+    return markup.typeset_pages(_marked_pages(spark, d)).select("src", "tex")
 
 
-@query()
+@query(
+    f"""WITH {MARKED}, n AS (SELECT *, count(*) OVER (PARTITION BY src) AS n, '.' || tag || coalesce(' ' || inline, '') || CASE WHEN lines <> '' THEN chr(10) || lines ELSE '' END AS body FROM marked)
+SELECT src, chr(10) || string_agg(body, chr(10) ORDER BY CASE WHEN n > 1 AND bi < 2 THEN 1 - bi ELSE bi END) || chr(10) AS text, CAST(any_value(n) > 1 AS INTEGER) AS done, CAST(any_value(n) < 2 AS INTEGER) AS refused FROM n GROUP BY src"""
+)
 def structural_replay(spark, d):
-    lines = _marked_lines(spark, d)
-    rows = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
-    pages = lines.groupBy("src").agg(F.array_join(rows, "\n").alias("text"))
-    first = markup.blocks_from_lines(lines).where("bi = 0").select("src", F.create_map(F.lit("0"), F.struct(F.lit("down").alias("do"), F.trim(F.array_join(F.concat(F.array("inline"), "lines"), "\n")).alias("was"))).alias("ops"))
+    pages = _marked_pages(spark, d)
+    said = F.regexp_replace(F.array_join(F.concat(F.when(F.col("inline").isNull(), F.array().cast("array<string>")).otherwise(F.array("inline")), "lines"), "\n"), r"(?U)^\s+|\s+$", "")
+    first = markup.blocks_of(pages).where("bi = 0").select("src", F.create_map(F.lit("0"), F.struct(F.lit("down").alias("do"), said.alias("was"))).alias("ops"))
     return markup.replay_pages(pages, first)
+
+
+# ------------------------------------------------ reports
+
+
+def _halves(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Words of each part's documents with even and with odd ids."""
+    w = docs(spark, d).select(F.col("source").alias("part"), "doc_id", F.explode(F.filter(F.split(F.lower("text"), r"\s+"), lambda t: t != "")).alias("word"))
+    return w.where("doc_id % 2 = 0").select("part", "word"), w.where("doc_id % 2 = 1").select("part", "word")
+
+
+HALVES = r"""w AS (SELECT source AS part, doc_id, unnest(list_filter(string_split_regex(lower(text), '\s+'), lambda t: t <> '')) AS word FROM documents),
+c AS (SELECT part, word, count(*) FILTER (doc_id % 2 = 0) AS a, count(*) FILTER (doc_id % 2 = 1) AS b FROM w GROUP BY part, word)"""
+
+
+@query(f"WITH {HALVES} SELECT part, CAST(sum(greatest(a - b, 0)) AS BIGINT) AS lost, CAST(sum(greatest(b - a, 0)) AS BIGINT) AS gained FROM c GROUP BY part HAVING max(a) <> 0 OR max(b) <> 0")
+def bag_totals(spark, d):
+    a, b = _halves(spark, d)
+    return roundtrip.bag_totals(roundtrip.bag_difference(a, b, ["part", "word"]), roundtrip.bag_difference(b, a, ["part", "word"]))
+
+
+@query(f"WITH {HALVES} SELECT part, word, a - b AS n, CAST(row_number() OVER (PARTITION BY part ORDER BY a - b DESC, word) AS INTEGER) AS place FROM c WHERE a > b QUALIFY place <= 8")
+def most_lost_words(spark, d):
+    a, b = _halves(spark, d)
+    return roundtrip.most_of(roundtrip.bag_difference(a, b, ["part", "word"]), ["part"], [F.desc("n"), F.col("word")], 8)
+
+
+@query("SELECT source AS part, count(*) AS pages FROM documents GROUP BY source")
+def parts_by_size(spark, d):
+    return audit.parts_by_size(docs(spark, d).select(F.col("source").alias("part")))
+
+
+@query(f"WITH {WORDS} SELECT src, bi, round_even(avg(conf), 1) AS mean FROM words GROUP BY src, bi")
+def block_confidence(spark, d):
+    return audit.block_confidence(words(spark, d))
+
+
+@query("SELECT doc_id AS src, CASE WHEN n_chars % 900 < 150 THEN 'thin' WHEN (n_chars % 900) / 1000.0 > 0.45 THEN 'page' ELSE 'column' END AS kind, CASE WHEN n_chars % 900 > 450 THEN n_chars END AS only FROM documents")
+def crop_classes(spark, d):
+    wide, tall = (F.col("n_chars") % 900).cast("int"), F.lit(1000)
+    return docs(spark, d).select(F.col("doc_id").alias("src"), cluster.crop_class(wide, tall).alias("kind"), cluster.wide_only(wide, tall, F.col("n_chars")).alias("only"))
+
+
+@query("SELECT l_orderkey AS src, CAST(l_linenumber AS INTEGER) AS region, l_quantity AS x0, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) AS INTEGER) AS n FROM lineitem")
+def reading_order(spark, d):
+    return cluster.reading_order(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_linenumber").cast("int").alias("region"), F.col("l_quantity").alias("x0")))
+
+
+@query(f"WITH {WORDS} SELECT src, bi, wi, t, bi || '.' || wi AS address FROM words WHERE conf < 2 ORDER BY src, bi || '.' || wi LIMIT 12")
+def first_addresses(spark, d):
+    return audit.first_addresses(words(spark, d).where("conf < 2").select("src", "bi", "wi", "t"))
+
+
+@query(r"SELECT * FROM (SELECT tag, count(*) AS n, count(DISTINCT page_id) AS pages FROM (SELECT page_id, unnest(regexp_extract_all(html, '<([a-z][a-z0-9]*)', 1)) AS tag FROM pages) t GROUP BY tag) ORDER BY n DESC, tag LIMIT 9")
+def top_tags(spark, d):
+    return audit.top_tags(html_stats(spark, d))
+
+
+@query(
+    f"""WITH {BLOCKS}, h AS (SELECT src, bi AS head, list_filter(string_split_regex(lower(text), '\\s+'), lambda t: t <> '') AS words FROM blocks)
+SELECT src, head, array_to_string(words, ' ') AS words FROM h WHERE len(words) > 1 OR (len(words) = 1 AND length(words[1]) > 3)"""
+)
+def real_headings(spark, d):
+    heads = document_blocks(docs(spark, d)).select("src", F.col("bi").alias("head"), F.filter(F.split(F.lower("text"), r"\s+"), lambda t: t != "").alias("words"))
+    return roundtrip.real_headings(heads).withColumn("words", F.array_join("words", " "))
+
+
+@query()
+def structured_pages(spark, d):
+    b = document_blocks(docs(spark, d)).where(F.trim("text") != "")
+    n = F.length("text")
+    lines = b.select("src", F.lit(1).alias("column"), F.col("bi").alias("n"), "layer", "text", (F.col("bi") * 13 % 101).cast("double").alias("conf"), (F.col("bi") * 12 - F.col("bi") % 3 * 9).cast("int").alias("y"), (n % 7).alias("x0"), (n + n % 7).alias("x1"))
+    marks = b.where("bi % 11 = 5").select("src", F.lit(1).alias("column"), F.when(F.col("bi") % 2 == 0, "capital").otherwise("rule").alias("kind"), (F.col("bi") * 12).alias("y"), F.col("layer").alias("ink"), F.upper(F.substring("text", 1, 1)).alias("letter"))
+    return structure.structured(lines, marks, 10.0)
+
+
+def _scans(spark, d) -> DataFrame:
+    """Small pages (src, h, w, rgb) with a box of ink for each word of a document, in two columns."""
+    spec = docs(spark, d).select(F.col("doc_id").alias("src"), F.transform(F.slice(F.split("text", r"\s+"), 1, 120), F.length).alias("sizes"))
+
+    def draw(it):
+        import numpy as np
+
+        for pdf in it:
+            out = []
+            for sizes in pdf["sizes"]:
+                img, x, y, right = np.full((300, 200, 3), 255, np.uint8), 20, 30, 0
+                for n in sizes:
+                    wide = min(2 + n, 50)
+                    if x + wide > 95 + 90 * right:
+                        x, y = 20 + 90 * right, y + 8
+                    if y > 280:
+                        x, y, right = 110, 30, 1
+                    if n and y <= 280:
+                        img[y : y + 5, x : x + wide] = (20, 20, 20) if n % 4 else (220, 20, 20)
+                        x += wide + 3
+                out.append(img.tobytes())
+            yield pdf.assign(h=300, w=200, rgb=out)[["src", "h", "w", "rgb"]]
+
+    return spec.mapInPandas(draw, "src long, h int, w int, rgb binary")
+
+
+@query()
+def page_checks(spark, d):
+    return imaging.measure_pages(_scans(spark, d))
+
+
+@query()
+def page_regions(spark, d):
+    return imaging.measure_pages(_scans(spark, d), imaging.page_regions, imaging.REGIONS).select("src", F.to_json("regions").alias("regions"), F.size("crossed").alias("crossed"))

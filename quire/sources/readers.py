@@ -48,13 +48,13 @@ def read_tsv(spark: SparkSession, path: str, scale: int = 1, pad: int = 0) -> Da
     at = {c: (F.floor(F.col(c) / scale) - pad).cast("int") for c in ("left", "top")}
     size = {c: F.floor(F.col(c) / scale).cast("int") for c in ("width", "height")}
     rows = rows.withColumn("conf", F.expr("try_cast(conf AS DOUBLE)")).where(F.col("conf").isNotNull() & (F.trim("text") != ""))
-    return rows.select("block", "par", "line", "word", F.trim("text").alias("t"), "conf", at["left"].alias("x"), at["top"].alias("y"), size["width"].alias("w"), size["height"].alias("h"))
+    return rows.select("page", "block", "par", "line", "word", F.trim("text").alias("t"), "conf", at["left"].alias("x"), at["top"].alias("y"), size["width"].alias("w"), size["height"].alias("h"))
 
 
 def tsv_lines(words: DataFrame) -> DataFrame:
-    """block, par, line, text, y, top, bot: words gathered in reading order."""
+    """page, block, par, line, text, y, top, bot: words gathered in reading order."""
     ordered = F.array_sort(F.collect_list(F.struct("word", "t")))
-    return words.groupBy("block", "par", "line").agg(F.array_join(F.transform(ordered, lambda w: w["t"]), " ").alias("text"), F.min("y").alias("top"), F.max(F.col("y") + F.col("h")).alias("bot")).withColumn("y", F.col("top"))
+    return words.groupBy("page", "block", "par", "line").agg(F.array_join(F.transform(ordered, lambda w: w["t"]), " ").alias("text"), F.min("y").alias("top"), F.max(F.col("y") + F.col("h")).alias("bot")).withColumn("y", F.col("top"))
 
 
 def read_markup(spark: SparkSession, path: str) -> DataFrame:
@@ -105,6 +105,17 @@ def document_blocks(docs: DataFrame) -> DataFrame:
     return lines.select("src", "part", "bi", F.when(F.col("bi") % 4 == 3, "red").otherwise("black").alias("layer"), "text")
 
 
+def document_pages(docs: DataFrame) -> DataFrame:
+    """src, words: array<struct<bi, wi, t, conf>>: the words of ``document_words`` with each page in one row."""
+    toks = lambda line: F.filter(F.split(line, r"\s+"), lambda t: t != "")
+
+    def word(bi: Column):
+        return lambda t, wi: F.struct(bi.alias("bi"), wi.alias("wi"), t.alias("t"), ((F.col("src") * 31 + bi * 17 + wi * 13) % 101).cast("double").alias("conf"))
+
+    named = docs.select(F.col("doc_id").alias("src"), "text")
+    return named.select("src", F.flatten(F.transform(F.split("text", "\n"), lambda line, bi: F.transform(toks(line), word(bi)))).alias("words"))
+
+
 def document_words(docs: DataFrame) -> DataFrame:
     """src, part, bi, wi, layer, t, conf, x, y, w, h: tokens with made-up confidences and boxes."""
     tokens = F.filter(F.split("text", r"\s+"), lambda t: t != "")
