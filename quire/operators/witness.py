@@ -38,7 +38,8 @@ def contexts(pages: DataFrame, reach: int = REACH) -> DataFrame:
     long = _kept(pages).where(F.size("w") > 2 * reach)
     cut = F.transform(F.sequence(F.lit(reach + 1), F.size("w") - reach), at)
     # Words without a key are context for others but never a centre.
-    return long.select("src", F.inline(F.filter(cut, lambda c: c["k"] != "")))
+    # An outer explosion: the plain one has Spark work the array out twice, once to see whether it is empty.
+    return long.select("src", F.inline_outer(F.filter(cut, lambda c: c["k"] != ""))).where("k IS NOT NULL")
 
 
 def _contradicted(around: DataFrame, key: list[str], support: int) -> DataFrame:
