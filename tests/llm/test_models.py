@@ -378,5 +378,20 @@ def test_pipeline(spark, docs):
     assert sorted(r.doc_id for r in p.run(spark, SF).collect()) == sorted(r.doc_id for r in now.collect())
 
 
+def test_pipeline_stages_on_odd_rows(spark, odd, none, clashing):
+    import corpus_pipeline as p
+
+    kept = {"toxicity": None, "line_dedup": None, "near_dedup": {1, 3, 5, 8, None}, "decontamination": None, "sentencepiece": None}
+    for name, stage in p.STAGES:
+        for df in (odd, clashing):
+            out = stage(spark, df, SF)
+            rows = out.collect()
+            if name != "sentencepiece":
+                assert out.columns == df.columns
+            wanted = sorted((r.doc_id for r in df.collect() if kept[name] is None or r.doc_id in kept[name]), key=repr)
+            assert sorted((r.doc_id for r in rows), key=repr) == wanted
+        assert stage(spark, none, SF).count() == 0
+
+
 def test_every_operator_is_registered():
     assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
