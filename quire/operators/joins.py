@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from quire.functions.text import glob_regex
 
 #: A side list is broadcast up to so many rows; longer ones are joined as the planner sees fit.
-SMALL = 10_000
+SMALL, SMALL_BYTES = 10_000, 8 << 20
 #: Characters of a pattern's beginning that it is looked up by, and stretches that a long list of bands is cut into.
 PREFIX, STRETCHES = 4, 4096
 
 
-def small(df: DataFrame, most: int = SMALL) -> DataFrame:
-    """Broadcast ``df`` if it is proven small, by reading no more than its first rows."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def small(df: DataFrame, most: int = SMALL, most_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Broadcast ``df`` if it is proven small, in rows and in bytes, by reading no more than its first rows."""
+    seen = df.limit(most + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()
+    return F.broadcast(df) if seen.n <= most and (seen.bytes or 0) <= most_bytes else df
 
 
 def _literal_prefix(pattern: Column) -> Column:

@@ -384,7 +384,9 @@ def reflow_paragraphs(spark, d):
     return docs(spark, d).select(F.col("doc_id").alias("src"), fn.reflow(F.col("text")).alias("text"))
 
 
-@query()
+@query(
+    r"""SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(strip_accents(replace(replace(regexp_replace(text, '(\p{L})-\s*\n\s*(\p{L})', '\1\2', 'g'), '’', chr(39)), 'œ', 'oe'))), '[\p{L}]+(?:[\x27’-][\p{L}]+)*')) AS word FROM documents) w GROUP BY word"""
+)
 def nfkd_words(spark, d):
     p = docs(spark, d).select(F.explode(fn.text_words(fn.plain_letters(fn.dehyphenate(F.col("text"))))).alias("word"))
     return p.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
@@ -473,7 +475,25 @@ def html_escape(spark, d):
     return table(spark, d, "pages").select("page_id", fn.html_escape(F.col("html")).alias("safe"), fn.slug(F.col("url")).alias("slug"))
 
 
-@query()
+def _set_line(text: str, other: str) -> str:
+    """A line as TeX in SQL; stars twice, as one may end where the next begins."""
+    out = f"regexp_replace({text}, '[{{]([^{{}}]*)[}}]', '\x01\\1\x02', 'g')"
+    for char, tex in fn.TEX:
+        out = f"replace({out}, '{char}', '{tex}')"
+    out = f"regexp_replace({out}, '(^|[\x01\x02])(\\s*\\[)', '\\1{{}}\\2', 'g')"
+    for mark, tex in fn.TEX_MARKS:
+        out = f"replace({out}, '{mark}', '{tex}')"
+    for _ in range(2):
+        out = f"regexp_replace({out}, '(^|[\\s\x01\x02])[*]([\\s\x01\x02]|$)', '\\1\\\\med{{}}\\2', 'g')"
+    return f"replace(replace({out}, '\x01', '{other}{{'), '\x02', '}}')"
+
+
+@query(
+    rf"""WITH {MARKED}, b AS (SELECT src, bi, tag, regexp_replace(lines, '^\s+|\s+$', '', 'g') AS body FROM marked),
+o AS (SELECT src, bi, CASE WHEN tag = 'text' THEN CASE WHEN body <> '' THEN {_set_line("body", chr(92) + "rubric")} || chr(10) END
+  ELSE '\begin{{rubricpar}}' || chr(10) || CASE WHEN body <> '' THEN {_set_line("body", chr(92) + "textcolor{black}")} || chr(10) || chr(10) ELSE '' END || '\end{{rubricpar}}' END AS out FROM b)
+SELECT src, '\begin{{brevbody}}' || chr(10) || coalesce(string_agg(out, chr(10) ORDER BY bi) || chr(10), '') || '\end{{brevbody}}' AS tex FROM o GROUP BY src"""
+)
 def typeset_pages(spark, d):
     return markup.typeset_pages(_marked_pages(spark, d)).select("src", "tex")
 
