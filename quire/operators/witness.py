@@ -1,13 +1,13 @@
 """Self-witness: words that the corpus itself contradicts in the same context.
 
-A page's words lie in one row, so contexts are cut out of the array where it stands; what is
-shuffled is a 128-bit hash of the context and the word in its midst.  Only the contexts that these
-counts contradict are then read as words, and the same comparison on the words themselves decides.
+A page's words lie in one row, so contexts are shifted slices of its array, laid side by side; what
+is shuffled is a 128-bit hash of the context and the word in its midst.  The few words that these
+counts contradict are then found on their pages.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import markish, norm
@@ -20,44 +20,33 @@ def pages_of(words: DataFrame) -> DataFrame:
     return words.groupBy("src").agg(F.array_sort(F.collect_list(F.struct("bi", "wi", "t", "conf"))).alias("words"))
 
 
-def _kept(pages: DataFrame) -> DataFrame:
-    """src, w: the words of a page that are no marks, with their keys."""
-    real = F.filter("words", lambda w: ~markish(w["t"]))
-    return pages.select("src", F.transform(real, lambda w: F.struct(w["bi"].alias("bi"), w["wi"].alias("wi"), w["t"].alias("t"), w["conf"].alias("conf"), norm(w["t"]).alias("k"))).alias("w"))
-
-
 def contexts(pages: DataFrame, reach: int = REACH) -> DataFrame:
-    """src, bi, wi, t, conf, k, around (the keys on either side), h1, h2 (its hash): each word with a key and whole context; pages do not run into one another."""
-    steps = [*range(-reach, 0), *range(1, reach + 1)]
-
-    def at(i: Column) -> Column:
-        w = F.element_at("w", i)
-        around = [F.element_at("w", i + s)["k"] for s in steps]
-        return F.struct(w["bi"].alias("bi"), w["wi"].alias("wi"), w["t"].alias("t"), w["conf"].alias("conf"), w["k"].alias("k"), F.array(*around).alias("around"), F.xxhash64(*around).alias("h1"), F.xxhash64(F.lit(reach), *around).alias("h2"))
-
-    long = _kept(pages).where(F.size("w") > 2 * reach)
-    cut = F.transform(F.sequence(F.lit(reach + 1), F.size("w") - reach), at)
+    """src, bi, wi, t, conf, k, h1, h2 (a hash of the keys on either side): each word with a key and whole context; pages do not run into one another."""
+    real = F.filter("words", lambda w: ~markish(w["t"]))
+    keyed = pages.select("src", F.transform(real, lambda w: F.struct(w["bi"].alias("bi"), w["wi"].alias("wi"), w["t"].alias("t"), w["conf"].alias("conf"), norm(w["t"]).alias("k"))).alias("w"))
+    most = F.greatest(F.size("w") - 2 * reach, F.lit(0))
+    sides = [s for s in range(2 * reach + 1) if s != reach]
+    cut = keyed.select("src", F.slice("w", reach + 1, most).alias("own"), *[F.slice(F.col("w.k"), s + 1, most).alias(f"c{s}") for s in sides])
+    # An outer explosion: the plain one has Spark work the arrays out twice, once to see whether they are empty.
+    laid = cut.select("src", F.inline_outer(F.arrays_zip("own", *[f"c{s}" for s in sides]))).where("own IS NOT NULL")
+    around = [F.col(f"c{s}") for s in sides]
     # Words without a key are context for others but never a centre.
-    # An outer explosion: the plain one has Spark work the array out twice, once to see whether it is empty.
-    return long.select("src", F.inline_outer(F.filter(cut, lambda c: c["k"] != ""))).where("k IS NOT NULL")
-
-
-def _contradicted(around: DataFrame, key: list[str], support: int) -> DataFrame:
-    """key, k, book, seen: centres seen once where another is seen ``support`` times; ties go to the lesser word."""
-    counted = around.groupBy(*key, "k").agg(F.count(F.lit(1)).alias("n"))
-    said = counted.groupBy(*key).agg(F.min(F.when(F.col("n") >= support, F.struct((-F.col("n")).alias("n"), F.col("k").alias("k")))).alias("best"), F.collect_list(F.when(F.col("n") == 1, F.col("k"))).alias("once"))
-    hits = said.where("best IS NOT NULL AND size(once) > 0").select(*key, F.explode("once").alias("k"), F.col("best.k").alias("book"), (-F.col("best.n")).alias("seen"))
-    return hits.where("k <> book")
+    return laid.where("own.k <> ''").select("src", "own.*", F.xxhash64(*around).alias("h1"), F.xxhash64(F.lit(reach), *around).alias("h2"))
 
 
 def self_witness_pages(pages: DataFrame, reach: int = REACH, support: int = SUPPORT) -> DataFrame:
-    """src, bi, wi, is, book, seen, conf; pages: src, words (array<struct<bi, wi, t, conf>>)."""
+    """src, bi, wi, is, book, seen, conf: centres seen once where another is seen ``support`` times; ties go to the lesser word.
+
+    pages: src, words (array<struct<bi, wi, t, conf>>).
+    """
     around = contexts(pages, reach)
-    suspects = _contradicted(around.select("h1", "h2", "k"), ["h1", "h2"], support).select("h1", "h2").distinct()
-    # Every word of a suspected context, so that the counts of the words themselves are whole.
-    close = around.join(suspects, ["h1", "h2"], "left_semi")
-    hits = _contradicted(close, ["around"], support)
-    return close.join(hits, ["around", "k"]).select("src", "bi", "wi", F.col("t").alias("is"), "book", "seen", F.bround("conf").cast("long").alias("conf"))
+    key = ["h1", "h2"]
+    # Dealt out by context, both counts and their comparison stay where they are.
+    counted = around.select(*key, "k").repartition(*key).groupBy(*key, "k").agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.when(F.col("n") >= support, F.struct((-F.col("n")).alias("n"), F.col("k").alias("k"))))
+    said = counted.groupBy(*key).agg(best.alias("best"), F.collect_list(F.when(F.col("n") == 1, F.col("k"))).alias("once"))
+    hits = said.where("best IS NOT NULL").select(*key, F.explode("once").alias("k"), F.col("best.k").alias("book"), (-F.col("best.n")).alias("seen")).where("k <> book")
+    return around.join(hits, [*key, "k"]).select("src", "bi", "wi", F.col("t").alias("is"), "book", "seen", F.bround("conf").cast("long").alias("conf"))
 
 
 def self_witness(words: DataFrame, reach: int = REACH, support: int = SUPPORT) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as fn
 from quire.operators import audit, cluster, fingerprint, imaging, joins, markup, merge, roundtrip, structure
 from quire.operators.witness import self_witness_pages
-from quire.sources.readers import document_blocks, document_pages, document_words, table
+from quire.sources.readers import dealt, document_blocks, document_pages, document_words, table
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -112,7 +112,7 @@ hits AS (SELECT c.*, book, seen FROM counted c JOIN book USING ({CTX}) WHERE c.n
 SELECT src, bi, wi, t AS is, book, seen, CAST(round_even(conf, 0) AS BIGINT) AS conf FROM around JOIN hits USING ({CTX}, k)"""
 )
 def self_witness_query(spark, d):
-    return self_witness_pages(document_pages(docs(spark, d)))
+    return self_witness_pages(document_pages(dealt(docs(spark, d), "doc_id")))
 
 
 def _turns(spark, d):

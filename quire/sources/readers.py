@@ -12,6 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """A table of fewer splits than the cluster has cores, dealt to all of them; others stay as they lie."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def stem(path: Column) -> Column:
     """File name without folders and its last suffix."""
     return F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
