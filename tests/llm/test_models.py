@@ -162,7 +162,7 @@ def test_trainers_average_to_one(spark, docs):
         got = lm_scoring.fit_together(windows, stats, start, rounds=1, most=most)
         n = max(1, -(-windows.count() // most))
         sums, seen = {k: np.zeros_like(v, float) for k, v in start.w.items()}, {k: np.zeros(len(v)) for k, v in start.w.items()}
-        for part in windows.repartition(n, lm_scoring.F.xxhash64("before", "ids")).withColumn("p", lm_scoring.F.spark_partition_id()).groupBy("p").agg(lm_scoring.F.collect_list("before").alias("b"), lm_scoring.F.collect_list("ids").alias("i")).collect():
+        for part in windows.repartition(n, "row").withColumn("p", lm_scoring.F.spark_partition_id()).groupBy("p").agg(lm_scoring.F.collect_list("before").alias("b"), lm_scoring.F.collect_list("ids").alias("i")).collect():
             x, y = (np.frombuffer(b"".join(map(bytes, c)), "<u4").reshape(-1, lm_scoring.WINDOW).astype(np.int64) for c in (part.b, part.i))
             own = lm_scoring.Network.copy(start)
             _, met = own.fit(stats, x, y)
