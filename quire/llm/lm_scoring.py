@@ -10,10 +10,10 @@ where the state is that of a causal self-attention layer over the window.  The t
 up to one, so all subwords do, and a text's score is a proper log-probability.
 
 Training counts every word of the corpus once, distributed; from that table come the word-unigram
-base score and the corpus's own turns.  The network is trained in numpy on windows of every training
-text in proportion to its length (``SLICE`` bytes in ``STEP``), so they grow with the corpus:
-trainers of at most ``TRAINED`` windows start from the same weights, and the weights they end with
-are averaged row by row in Spark, ``ROUNDS`` times.
+base score and the corpus's own turns.  The network is trained in numpy on every subword of every
+training text, each once a pass: texts are cut into windows where they lie, every part of the table
+trains from the same weights, and the weights the parts end with are averaged row by row in Spark,
+``ROUNDS`` times.
 
 Texts are scored in windows of ``WINDOW`` subwords that overlap by ``OVERLAP``; each subword is
 scored once, in the window that shows it most context, by masked attention over batches of windows.
@@ -34,6 +34,7 @@ import heapq
 import itertools
 import math
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,7 +50,7 @@ from quire.llm.subwords import encoder
 FOLDS, HELD_OUT = 7, 2
 END = b" "  # no word holds a space
 HEAVY = 1_000_000
-FLUSH, REMEMBERED = 400_000, 400_000
+FLUSH, REMEMBERED = 400_000, 150_000
 #: Subwords with rows of their own, and nodes with columns of their own, in the table of the corpus's turns.
 FREQUENT = 1_536
 BACKOFF = 2.0
@@ -60,10 +61,12 @@ OPENING, INNER = 24, 48
 SEEN = 128
 #: The weight of the text's own words, and the number of them that earns half of it.
 RECENT, RECENT_FROM = 0.15, 30
-#: Of so many bytes of training text, the words within so many are trained on.
-STEP, SLICE = 8_192, 128
-#: Windows of one trainer at most, times that the trainers are averaged, windows a step, and the rate.
-TRAINED, ROUNDS, BATCH, RATE = 8_192, 2, 64, 0.1
+#: Bytes of a slice, where windows of slices are asked for.
+SLICE = 128
+#: Times that the trainers are averaged, windows a step, windows shuffled at once, and the rate.
+ROUNDS, BATCH, SHUFFLED, RATE = 1, 256, 8_192, 0.1
+#: Bytes of text, and windows, that are worked on at once.
+PIECE, ROWS = 512 << 10, 2_048
 
 
 def split_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -133,7 +136,7 @@ def _count_words(it):
         counts.clear()
         return rows
 
-    for b in batches(it, 4 << 20):
+    for b in batches(it, 2 << 20):
         words, numbers, per = split_words(b.column("text"))
         counts[END] += len(per)
         get = counts.get
@@ -274,15 +277,14 @@ def _kmeans(x: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator,
     return near
 
 
-def _neighbours(size: int, context: np.ndarray):
+def _neighbours(size: int, context: np.ndarray, tokenizer: str):
     """(id, context, n): how often ids share a window with each of the frequent ``context`` ids."""
     at = np.full(size, -1, np.int64)
     at[context] = np.arange(len(context))
 
     def run(it):
         sums = np.zeros((size, len(context)), np.float32)
-        for b in batches(it):
-            ids = np.frombuffer(b"".join(b.column("ids").to_pylist()), "<u4").reshape(-1, WINDOW).astype(np.int64)
+        for ids in (x[a : a + ROWS] for _, x in _held(it, tokenizer) for a in range(0, len(x), ROWS)):
             row, _ = np.divmod(np.arange(ids.size), WINDOW)
             near = np.zeros((len(ids), len(context)), np.float32)
             seen = at[ids.ravel()]
@@ -299,7 +301,7 @@ def _neighbours(size: int, context: np.ndarray):
 
 
 def statistics(counted: DataFrame, windows: DataFrame, tokenizer: str, frequent: int = FREQUENT) -> tuple[Statistics, np.ndarray]:
-    """Turns by successions over all distinct words, weighted by their counts; and vectors of ids by their neighbours in ``windows``."""
+    """Turns by successions over all distinct words, weighted by their counts; and vectors of ids by their neighbours in ``windows`` (ids, or the texts they are cut from)."""
     spark, ids = counted.sparkSession, ids_for(tokenizer)
     size = ids.end + 1
     pairs = materialize(counted.mapInArrow(_pair_rows(tokenizer), "before int, after int, n long").groupBy("before", "after").agg(F.sum("n").alias("n")), "pairs")
@@ -312,7 +314,7 @@ def statistics(counted: DataFrame, windows: DataFrame, tokenizer: str, frequent:
     opening = np.array([(ids.encoder.library.id_to_token(k) or "").startswith("Ġ") for k in range(size)])
     opening[ids.end] = True
 
-    met = windows.mapInArrow(_neighbours(size, top[:SEEN]), "id int, context int, n double").groupBy("id", "context").agg(F.sum("n").alias("n")).toArrow()  # at most SEEN rows an id
+    met = windows.mapInArrow(_neighbours(size, top[:SEEN], tokenizer), "id int, context int, n double").groupBy("id", "context").agg(F.sum("n").alias("n")).toArrow()  # at most SEEN rows an id
     near = np.zeros((size, SEEN))
     near[met["id"].to_numpy(), met["context"].to_numpy()] = met["n"].to_numpy()
     expected = near.sum(axis=1, keepdims=True) * near.sum(axis=0) / max(1.0, near.sum())
@@ -397,22 +399,31 @@ class Network:
         a /= (a.reshape(-1, WINDOW) @ _ONES + np.float32(1e-30)).reshape(*a.shape[:2], 1)
         return x, q, k, v, a, x + np.matmul(a, v)
 
-    def step(self, ids: np.ndarray, turns: np.ndarray, first: np.ndarray, which: np.ndarray, odds: np.ndarray) -> tuple[float, dict]:
+    def step(self, ids: np.ndarray, turns: np.ndarray, first: np.ndarray, which: np.ndarray, odds: np.ndarray, real: np.ndarray | None = None) -> tuple[float, dict]:
         """Mean loss of a batch of windows over the turns of what follows each place, and its gradients.
 
-        turns: of all places in a row, ``first``: where each place's begin, ``which``: the place of each, ``odds``: the corpus's.
+        turns: of all places in a row, ``first``: where each place's begin, ``which``: the place of each, ``odds``: the corpus's,
+        ``real``: places that count (all).
         Gradients of e and n are (rows, values) of the rows met.
         """
         w = self.w
         x, q, k, v, a, h = self.attend(ids)
         flat, node, side = h.reshape(-1, WIDTH), turns >> 1, (turns & 1).astype(np.float32)
-        vectors = w["n"][node]
-        z = odds + np.einsum("ij,ij->i", vectors, flat[which])
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        loss = -np.log(np.maximum(np.where(side > 0, p, 1 - p), 1e-12)).sum() / ids.size
-        d_z = ((p - side) / np.float32(ids.size))[:, None]
-        d_h = np.add.reduceat(d_z * vectors, first, axis=0).reshape(h.shape)
-        grads = {"n": _by_row(node, d_z * flat[which])}
+        vectors, states = w["n"].take(node, axis=0), flat.take(which, axis=0)
+        z = odds + np.einsum("ij,ij->i", vectors, states)
+        np.clip(z, -30, 30, out=z)
+        e = np.exp(-z)
+        p = 1 / (1 + e)
+        each, n = np.log1p(e) + (1 - side) * z, np.float32(ids.size)
+        d_z = (p - side)[:, None]
+        if real is not None:
+            n = np.float32(max(1, real.sum()))
+            each, d_z = each * real[which], d_z * real[which][:, None]
+        loss, d_z = each.sum() / n, d_z / n
+        vectors *= d_z
+        states *= d_z
+        d_h = np.add.reduceat(vectors, first, axis=0).reshape(h.shape)
+        grads = {"n": _by_row(node, states)}
         d_a = np.matmul(d_h, v.transpose(0, 2, 1))
         d_v = np.matmul(a.transpose(0, 2, 1), d_h)
         d_s = a * (d_a - (d_a * a).sum(axis=2, keepdims=True)) * np.float32(1 / math.sqrt(WIDTH))
@@ -426,15 +437,21 @@ class Network:
         return float(loss), grads
 
     def fit(self, s: Statistics, before: np.ndarray, ids: np.ndarray, rate: float = RATE, batch: int = BATCH) -> tuple[list[float], dict[str, np.ndarray]]:
-        """One pass over windows of ids with those before them, by Adagrad with one scale a row; the losses, and how often each row of e and n was met."""
-        order = np.random.default_rng(5).permutation(len(ids))
+        """One pass over windows of ids with those before them; the losses, and how often each row of e and n was met."""
+        losses, met, _ = self.fit_all(s, [(before, ids)], rate, batch)
+        return losses, met
+
+    def fit_all(self, s: Statistics, held: Iterable[tuple[np.ndarray, np.ndarray]], rate: float = RATE, batch: int = BATCH) -> tuple[list[float], dict[str, np.ndarray], int]:
+        """One pass over all that ``held`` yields, by Adagrad with one scale a row; the losses, how often each row of e and n was met, and the number of windows."""
+        rng, losses, n = np.random.default_rng(5), [], 0
         scale = {name: np.full((len(x), 1) if name in "en" else x.shape, 1e-8, np.float32) for name, x in self.w.items()}
         met = {name: np.zeros(len(self.w[name])) for name in "en"}
-        losses = []
-        for a in range(0, len(order), batch):
-            own = order[a : a + batch]
-            losses.append(self._learn(s, before[own], ids[own], rate, scale, met))
-        return losses, met
+        for before, ids in _regrouped(held, SHUFFLED):
+            order, n = rng.permutation(len(ids)), n + len(ids)
+            for a in range(0, len(order), batch):
+                own = order[a : a + batch]
+                losses.append(self._learn(s, before[own], ids[own], rate, scale, met))
+        return losses, met, n
 
     def _learn(self, s: Statistics, before, ids, rate, scale, met) -> float:
         turns, first = s.tree.ways(ids.ravel())
@@ -445,7 +462,7 @@ class Network:
         rest = np.ones(len(whole), bool)
         rest[heads] = False
         whole[heads], whole[rest] = s.tree.opening[ids.ravel()], turns
-        loss, grads = self.step(before, whole, heads, which, s.odds(before.ravel()[which], whole >> 1))
+        loss, grads = self.step(before, whole, heads, which, s.odds(before.ravel()[which], whole >> 1), counting(before, ids, len(s.tree.size) - 1))
         for name, gr in grads.items():
             if name in "en":
                 rows, values = gr
@@ -460,9 +477,34 @@ class Network:
 
 def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows and the sums of their values."""
+    if int(rows.max(initial=0)) < 1 << 16:
+        rows = rows.astype(np.uint16)  # sorted by radix
     order = np.argsort(rows, kind="stable")
-    which, first = np.unique(rows[order], return_index=True)
-    return which, np.add.reduceat(values[order], first, axis=0)
+    held = rows[order]
+    first = np.flatnonzero(np.diff(held.astype(np.int64), prepend=-1))
+    return held[first].astype(np.int64), np.add.reduceat(values.take(order, axis=0), first, axis=0)
+
+
+def counting(before: np.ndarray, ids: np.ndarray, end: int) -> np.ndarray:
+    """Whether each place of windows holds an id of a text, not what stands in front of its start, where ends follow ends."""
+    fill = np.logical_and.accumulate((ids == end) & (before == end), axis=1)
+    fill[:, -1] = False  # the end of an empty text
+    return ~fill.ravel()
+
+
+def _regrouped(held: Iterable[tuple[np.ndarray, np.ndarray]], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same windows, ``most`` at a time."""
+    waiting, n = [], 0
+    for before, ids in held:
+        for a in range(0, len(ids), most):
+            waiting.append((before[a : a + most], ids[a : a + most]))
+            n += len(waiting[-1][1])
+            if n >= most:
+                x, y = (np.concatenate(p) for p in zip(*waiting, strict=True))
+                yield x[:most], y[:most]
+                waiting, n = [(x[most:], y[most:])], n - most
+    if n:
+        yield tuple(np.concatenate(p) for p in zip(*waiting, strict=True))
 
 
 @dataclass
@@ -610,6 +652,27 @@ def _pieces(texts: pa.Array, at: list[int], step: int):
             yield start == a, bytes(raw[start : min(start + SLICE, e)])
 
 
+def whole_windows(out: np.ndarray, ends: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of the ids before, and of the ids, of whole texts: every id once; in front of a text's first window stand ends."""
+    lengths = np.diff(np.concatenate(([0], ends)))
+    fill = -lengths % WINDOW
+    at = np.arange(len(out)) + np.repeat(np.cumsum(fill), lengths)
+    before, ids = (np.full(len(out) + int(fill.sum()), end, np.int64) for _ in range(2))
+    before[at], ids[at] = inputs(out, ends, end), out
+    return before.reshape(-1, WINDOW), ids.reshape(-1, WINDOW)
+
+
+def _held(it, tokenizer: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Windows of batches of texts, or of those that a table of windows holds."""
+    for b in batches(it, PIECE):
+        if "text" in b.schema.names:
+            ids = ids_for(tokenizer)
+            c = coded(b.column("text"), ids)
+            yield whole_windows(c.out, c.ends, ids.end)
+        else:
+            yield tuple(np.frombuffer(b"".join(b.column(k).to_pylist()), "<u4").reshape(-1, WINDOW).astype(np.int64) for k in ("before", "ids"))
+
+
 def _windows(tokenizer: str, step: int):
     """Windows of ids, and of those before them, of the whole words of text slices; the last is filled up with what went before."""
 
@@ -631,51 +694,71 @@ def _windows(tokenizer: str, step: int):
                     whole = np.concatenate((whole, np.array([ids.end], np.uint32)))
                 for stop in range(len(whole), WINDOW, -WINDOW):
                     rows.append((whole[stop - WINDOW - 1 : stop - 1].tobytes(), whole[stop - WINDOW : stop].tobytes()))
-            yield pa.record_batch([pa.array(np.arange(row, row + len(rows)), pa.int64()), pa.array([x for x, _ in rows], pa.binary()), pa.array([y for _, y in rows], pa.binary())], names=["row", "before", "ids"])
+            yield _window_rows(row, [x for x, _ in rows], [y for _, y in rows])
             row += len(rows)
 
     return run
 
 
-def windows_of(lessons: DataFrame, tokenizer: str, step: int = STEP) -> DataFrame:
-    """row (a number of its own), before, ids: windows of ``SLICE`` bytes out of every ``step`` of each text, from a place that depends on the id."""
+def _window_rows(row: int, before: list[bytes], ids: list[bytes]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(np.arange(row, row + len(ids)), pa.int64()), pa.array(before, pa.binary()), pa.array(ids, pa.binary())], names=["row", "before", "ids"])
+
+
+def _all_windows(tokenizer: str):
+    def run(it):
+        row = TaskContext.get().partitionId() << 33
+        for held in _held(it, tokenizer):
+            for a in range(0, len(held[1]), ROWS):
+                x, y = ([w.tobytes() for w in part[a : a + ROWS].astype("<u4")] for part in held)
+                yield _window_rows(row, x, y)
+                row += len(y)
+
+    return run
+
+
+def windows_of(lessons: DataFrame, tokenizer: str, step: int | None = None) -> DataFrame:
+    """row (a number of its own), before, ids: windows of every id of each text; with ``step``, of ``SLICE`` bytes out of so many, from a place that depends on the id."""
+    schema = "row long, before binary, ids binary"
+    if step is None:
+        return materialize(lessons.select("text").mapInArrow(_all_windows(tokenizer), schema), "windows")
     placed = lessons.select(F.pmod(F.xxhash64("doc_id"), F.lit(step)).cast("int").alias("at"), "text")
-    return materialize(placed.mapInArrow(_windows(tokenizer, step), "row long, before binary, ids binary"), "windows")
+    return materialize(placed.mapInArrow(_windows(tokenizer, step), schema), "windows")
 
 
 _COLUMNS = [f"x{k}" for k in range(WIDTH)]
 
 
-def _trainer(shared, rate: float):
-    """Rows of the weights that one trainer's windows have changed: name, row, how often met, and the row."""
+def _trainer(shared, rate: float, tokenizer: str):
+    """Rows of the weights that the windows of one part have changed: name, row, how often met, and the row times that."""
 
     def run(it):
         stats, network = shared.value
         network = Network.copy(network)
-        before, ids = ([] for _ in range(2))
-        for b in it:
-            before += b.column("before").to_pylist()
-            ids += b.column("ids").to_pylist()
-        if not ids:
+        _, met, count = network.fit_all(stats, _held(it, tokenizer), rate)
+        if not count:
             return
-        x, y = (np.frombuffer(b"".join(p), "<u4").reshape(-1, WINDOW).astype(np.int64) for p in (before, ids))
-        _, met = network.fit(stats, x, y, rate)
         for name, w in network.w.items():
             rows = np.flatnonzero(met[name]) if name in "en" else np.arange(len(w))
-            n = met[name][rows] if name in "en" else np.full(len(rows), float(len(ids)))
-            yield pa.record_batch([pa.array([name] * len(rows), pa.string()), pa.array(rows, pa.int32()), pa.array(n, pa.float64()), *[pa.array(w[rows, k] * n, pa.float64()) for k in range(WIDTH)]], names=["name", "row", "n", *_COLUMNS])
+            n = met[name][rows] if name in "en" else np.full(len(rows), float(count))
+            values = w[rows] * n[:, None].astype(np.float32)
+            for a in range(0, len(rows), 8 * ROWS):
+                own = slice(a, a + 8 * ROWS)
+                yield pa.record_batch([pa.array([name] * len(rows[own]), pa.string()), pa.array(rows[own], pa.int32()), pa.array(n[own], pa.float64()), *[pa.array(values[own, k], pa.float32()) for k in range(WIDTH)]], names=["name", "row", "n", *_COLUMNS])
 
     return run
 
 
-def fit_together(windows: DataFrame, stats: Statistics, network: Network, rounds: int = ROUNDS, most: int = TRAINED) -> Network:
-    """The network after ``rounds`` passes over all windows, each the average of independent trainers."""
+def fit_together(windows: DataFrame, stats: Statistics, network: Network, rounds: int = ROUNDS, most: int | None = None, tokenizer: str = "") -> Network:
+    """The network after ``rounds`` passes over all windows, each the average of independent trainers.
+
+    windows: the windows themselves, or the texts they are cut from (``text``, with ``tokenizer``).  Each part of the table is one
+    trainer's; with ``most`` the windows are dealt by their numbers to trainers of about so many.
+    """
     spark = windows.sparkSession
-    trainers = max(1, -(-windows.count() // most))
-    dealt = windows.repartition(trainers, "row")  # alike windows are dealt out as well
+    dealt = windows if most is None else windows.repartition(max(1, -(-windows.count() // most)), "row")
     for k in range(rounds):
         shared = spark.sparkContext.broadcast((stats, network))
-        done = dealt.mapInArrow(_trainer(shared, RATE / (1 + k)), "name string, row int, n double, " + ", ".join(f"{c} double" for c in _COLUMNS))
+        done = dealt.mapInArrow(_trainer(shared, RATE / (1 + k), tokenizer), "name string, row int, n double, " + ", ".join(f"{c} float" for c in _COLUMNS))
         # At most one row for each row of the weights.
         mean = done.groupBy("name", "row").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in _COLUMNS]).toArrow()
         network = Network.copy(network)
@@ -691,9 +774,9 @@ def train(docs: DataFrame, tokenizer: str) -> tuple[DataFrame, Statistics, Netwo
     """docs: doc_id, text.  The table of word counts, the corpus statistics and the trained network."""
     tune(docs.sparkSession)
     lessons = docs.where(F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT)).select("doc_id", "text")
-    counted, windows = count_words(lessons), windows_of(lessons, tokenizer)
-    stats, vectors = statistics(counted, windows, tokenizer)
-    return counted, stats, fit_together(windows, stats, Network(vectors, stats.tree.nodes))
+    counted, texts = count_words(lessons), lessons.select("text")
+    stats, vectors = statistics(counted, texts, tokenizer)
+    return counted, stats, fit_together(texts, stats, Network(vectors, stats.tree.nodes), tokenizer=tokenizer)
 
 
 def score_documents(docs: DataFrame, counted: DataFrame, stats: Statistics, network: Network, tokenizer: str) -> DataFrame:
@@ -715,7 +798,7 @@ def score_documents(docs: DataFrame, counted: DataFrame, stats: Statistics, netw
         scorer = Scorer(stats, network, ids)
         end_log = logs.get(END, 0.0)
         row = TaskContext.get().partitionId() << 33
-        for b in batches(it, 2 << 20):
+        for b in batches(it, 1 << 20):
             c = coded(b.column("text"), ids)
             earlier, text, number, n = repeats(c)
             scores = scorer.score(c, earlier)
