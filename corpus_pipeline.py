@@ -39,7 +39,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of each group of near copies, by exact Jaccard similarity of shingles, stays; all texts without words are one group."""
+    """The document of the least id of each group of near copies, found by covering SimHash and completed to the exact Jaccard similarity of shingles, stays; all texts without words are one group."""
     grouped = near_copies(docs, width=SHINGLE_WORDS, percent=SIMILAR)
     gone = grouped.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")

@@ -1,4 +1,9 @@
-"""Near copies by the exact Jaccard similarity of word shingles, joined by prefix filtering.
+"""Near copies by SimHash with covering hashing, verified by and completed to the exact Jaccard similarity of word shingles.
+
+Every set of shingles has a SimHash fingerprint.  Sets of one fingerprint meet the least of them, and
+covering hashing finds all fingerprints within ``RADIUS`` bits, each of which meets the least that it is
+near to; the pairs are verified on the whole sets.  Similar sets further apart than that, which are most
+of those that are not copies, are then found by an exact join with prefix filtering.
 
 The shingles of every text are ordered alike everywhere, rare ones first.  Two sets of similarity
 ``percent`` or more then share a shingle among the first n - ceil(n * percent / 100) + 1 of each,
@@ -6,7 +11,7 @@ so pairs are looked for under those shingles only and none is missed; the place
 shingle bounds what the rest can still share.  The pairs that remain are verified on the whole
 sets, but for those of sets that verified pairs connect already.  Which shingles are rare is learned from a sample; it decides the cost, never the result.
 
-Equal sets are merged first.  Then each set is compared with the least of those that it shares
+Equal sets are merged first.  After the fingerprints, each set is compared with the least of those that it shares
 much of its prefix with, at most five of them; what this links is one part, and from there on only
 sets of different parts meet, so the pairs of a group of near copies grow with its size, not with
 its square.  Under shingles of at most ``MOST_PAIRED`` sets the shared ones are counted before two
@@ -26,10 +31,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import batches, discard, lower_bytes, materialize, salt, tune
+from quire.llm import simhash
+from quire.llm.common import batches, discard, lower_bytes, materialize, salt, salted_groups, tune
 from quire.llm.components import connected_components
 
-SEED, WIDTH, PERCENT = 42, 5, 80
+SEED, WIDTH, PERCENT, RADIUS = 42, 5, 80, 3
 MOST_PAIRED = 64
 #: The sample that tells which shingles are frequent: texts, and shingles remembered from them.
 SAMPLE, FREQUENT = 5_000, 100_000
@@ -54,6 +60,15 @@ def key_of(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
+def fingerprint(found: np.ndarray) -> int:
+    """Signed 64-bit SimHash of a set of shingles: bits that over half of them have; zero for none."""
+    total = np.zeros(64, np.int64)
+    raw = found.astype(">u8").view(np.uint8).reshape(-1, 8)
+    for at in range(0, len(raw), 4096):
+        total += np.unpackbits(raw[at : at + 4096], axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(total * 2 > len(found)).tobytes(), "big", signed=True)
+
+
 def prefix(found: np.ndarray, values: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The shingles that a similar set must share one of; ``values`` (ascending) are the frequent ones, with their counts."""
     most = len(found) + (-percent * len(found)) // 100 + 1
@@ -103,7 +118,7 @@ def _marks(width: int, percent: int, shared):
             often = [_among(x.view(np.uint64), values) for x in first]
             stops = np.concatenate(([0], np.cumsum([len(x) for x in first])))
             lists = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(np.concatenate(first), pa.int64()))
-            yield pa.record_batch([b.column("doc_id"), pa.array([key_of(x) for x in found], pa.binary()), pa.array([len(x) for x in found], pa.int64()), lists, pa.array(often, pa.int32())], names=["doc_id", "key", "n", "prefix", "often"])
+            yield pa.record_batch([b.column("doc_id"), pa.array([key_of(x) for x in found], pa.binary()), pa.array([len(x) for x in found], pa.int64()), lists, pa.array(often, pa.int32()), pa.array([fingerprint(x) for x in found], pa.int64())], names=["doc_id", "key", "n", "prefix", "often", "fp"])
 
     return run
 
@@ -160,13 +175,32 @@ def _shared(merged: DataFrame, percent: int) -> DataFrame:
     return materialize(few.select(columns).union(many.join(F.broadcast(sums), "t").select(columns)), "shared")
 
 
+def covered(merged: DataFrame, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
+    """a < b: sets that SimHash finds: each with the least of its fingerprint, and those with the least that lie within ``radius`` bits.
+
+    Pairs whose sizes rule the similarity out are left away.  merged: sid, n, fp.
+    """
+    dealt = merged.select("sid", "n", "fp", salt("sid").alias("s"))
+    own = F.min(F.struct("sid", "n")).alias("lead")
+    leads = materialize(salted_groups(dealt, ["fp"], "s", [own], [F.min("lead").alias("lead")]), "leads")
+    same = dealt.join(leads, ["fp", "s"]).select("sid", "n", "lead")
+    first = leads.select("fp", "lead").distinct()
+    near = simhash.links(first.select("fp"), radius).groupBy(F.col("b").alias("fp")).agg(F.min("a").alias("other"))
+    met = near.join(first.withColumnRenamed("lead", "mine"), "fp").join(first.withColumnRenamed("fp", "other"), "other").select("mine.sid", "mine.n", "lead")
+    alike = F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * percent
+    pairs = same.union(met).where((F.col("sid") != F.col("lead.sid")) & alike)
+    return pairs.select(F.least("sid", "lead.sid").alias("a"), F.greatest("sid", "lead.sid").alias("b")).distinct()
+
+
 def links(docs: DataFrame, merged: DataFrame, width: int = WIDTH, percent: int = PERCENT, most: int = MOST_PAIRED) -> DataFrame:
-    """a, b: numbers of similar sets, enough of them to connect all that are.  merged: sid, key, rep, n, prefix, often."""
+    """a, b: numbers of similar sets, enough of them to connect all that are.  merged: sid, key, rep, n, prefix, often, fp."""
+    near = verify(materialize(covered(merged, percent), "covered"), docs, merged, width, percent)
     shared = _shared(merged, percent)
     alike = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
     # Sets that share a quarter of their prefixes with the leader of those shingles: at most five a set, and most near copies.
     led = shared.where("sid <> lead.sid").groupBy("sid", "n", "lead").agg(F.count(F.lit(1)).alias("o")).where(F.col("o") * 4 >= _prefix_size(F.least("n", "lead.n"), percent))
-    star = verify(materialize(led.select(F.col("lead.sid").alias("a"), F.col("sid").alias("b")), "star"), docs, merged, width, percent)
+    unmet = led.select(F.col("lead.sid").alias("a"), F.col("sid").alias("b")).join(near, ["a", "b"], "left_anti")
+    star = verify(materialize(unmet, "star"), docs, merged, width, percent).union(near)
     parts = materialize(connected_components(star), "parts")
     # From here on only sets of different parts meet.
     placed = materialize(shared.select("t", "sid", "n", "i", "size").join(parts.withColumnRenamed("node", "sid"), "sid", "left").withColumn("part", F.coalesce("component", "sid")).drop("component"), "placed")
@@ -201,8 +235,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, width))
-    marked = materialize(docs.mapInArrow(_marks(width, percent, shared), f"doc_id {kind}, key binary, n long, prefix array<long>, often int"), "marked")
-    merged = materialize(marked.where("doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("often").alias("often")).withColumn("sid", F.monotonically_increasing_id()), "merged")
+    marked = materialize(docs.mapInArrow(_marks(width, percent, shared), f"doc_id {kind}, key binary, n long, prefix array<long>, often int, fp long"), "marked")
+    merged = materialize(marked.where("doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("often").alias("often"), F.first("fp").alias("fp")).withColumn("sid", F.monotonically_increasing_id()), "merged")
     pairs = links(docs, merged, width, percent, most)
     reps = merged.select("sid", "key", "rep")
     by_rep = pairs.join(reps.select(F.col("sid").alias("a"), F.col("rep").alias("ra")), "a").join(reps.select(F.col("sid").alias("b"), F.col("rep").alias("rb")), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
