@@ -11,9 +11,10 @@ up to one, so all subwords do, and a text's score is a proper log-probability.
 
 Training counts every word of the corpus once, distributed; from that table come the word-unigram
 base score and the corpus's own turns.  The network is trained in numpy on every subword of every
-training text, each once a pass: texts are cut into windows where they lie, every part of the table
-trains from the same weights, and the weights the parts end with are averaged row by row in Spark,
-``ROUNDS`` times.
+training text, each once a pass: texts become ids once, in a table of their windows, every part of
+that table trains from the same weights, and the weights the parts end with are averaged row by row
+in Spark, ``ROUNDS`` times.  The heaviest nodes of the tree are worked on as one matrix, the others
+turn by turn.
 
 Texts are scored in windows of ``WINDOW`` subwords that overlap by ``OVERLAP``; each subword is
 scored once, in the window that shows it most context, by masked attention over batches of windows.
@@ -33,7 +34,6 @@ import functools
 import heapq
 import itertools
 import math
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -65,8 +65,10 @@ RECENT, RECENT_FROM = 0.15, 30
 SLICE = 128
 #: Times that the trainers are averaged, windows a step, windows shuffled at once, and the rate.
 ROUNDS, BATCH, SHUFFLED, RATE = 1, 256, 8_192, 0.1
-#: Bytes of text, and windows, that are worked on at once.
-PIECE, ROWS = 512 << 10, 2_048
+#: Bytes of text, and windows, that are worked on at once; windows in one row of a table.
+PIECE, ROWS, BLOCK = 512 << 10, 2_048, 512
+#: Nodes that are worked on as one matrix; results do not depend on it.
+DENSE = 32
 
 
 def split_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -128,23 +130,66 @@ def ids_for(tokenizer: str) -> Ids:
 # ---------------------------------------------------------------- counting
 
 
-def _count_words(it):
-    counts: dict[bytes, int] = defaultdict(int)
+class Counts(dict):
+    """Words with how often they were met."""
+
+    def add(self, words: list[bytes], numbers: np.ndarray, per: np.ndarray) -> None:
+        get = self.get
+        self.update({w: get(w, 0) + n for w, n in zip(words, np.bincount(numbers, minlength=len(words)).tolist(), strict=True)})
+        self[END] = get(END, 0) + len(per)
 
-    def out():
-        rows = pa.record_batch([pa.array(list(counts.keys()), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-        counts.clear()
+    def out(self) -> list[pa.Array]:
+        rows = [pa.array(list(self.keys()), pa.binary()), pa.array(list(self.values()), pa.int64())]
+        self.clear()
         return rows
 
+
+def _count_words(it):
+    counts = Counts()
     for b in batches(it, 2 << 20):
-        words, numbers, per = split_words(b.column("text"))
-        counts[END] += len(per)
-        get = counts.get
-        counts.update({w: get(w, 0) + n for w, n in zip(words, np.bincount(numbers, minlength=len(words)).tolist(), strict=True)})
+        counts.add(*split_words(b.column("text")))
         if len(counts) > FLUSH:
-            yield out()
+            yield pa.record_batch(counts.out(), names=["word", "n"])
     if counts:
-        yield out()
+        yield pa.record_batch(counts.out(), names=["word", "n"])
+
+
+def _read_once(tokenizer: str):
+    """Rows with a word and its count, and rows with the ids of up to ``BLOCK`` windows and the one before them."""
+
+    def run(it):
+        counts, ids = Counts(), ids_for(tokenizer)
+        names, kind = ["word", "n", "coded"], id_kind(ids.end)
+
+        def told():
+            rows = counts.out()
+            return pa.record_batch([*rows, pa.nulls(len(rows[0]), pa.binary())], names=names)
+
+        for b in batches(it, PIECE):
+            c = coded(b.column("text"), ids)
+            counts.add(c.words, c.numbers, c.per)
+            # Every text closes with the end id, so what stands before any id is the one before it in the row of windows.
+            flat = np.concatenate(([ids.end], whole_windows(c.out, c.ends, ids.end)[1].ravel())).astype(kind)
+            rows = [flat[a : a + BLOCK * WINDOW + 1].tobytes() for a in range(0, len(flat) - 1, BLOCK * WINDOW)]
+            yield pa.record_batch([pa.nulls(len(rows), pa.binary()), pa.nulls(len(rows), pa.int64()), pa.array(rows, pa.binary())], names=names)
+            if len(counts) > FLUSH:
+                yield told()
+        if counts:
+            yield told()
+
+    return run
+
+
+def id_kind(end: int) -> str:
+    """How ids lie in tables."""
+    return "<u2" if end < 1 << 16 else "<u4"
+
+
+def read_once(lessons: DataFrame, tokenizer: str) -> tuple[DataFrame, DataFrame]:
+    """Word counts (word, n) and windows (coded) of every text, read and split once."""
+    both = materialize(lessons.select("text").mapInArrow(_read_once(tokenizer), "word binary, n long, coded binary"), "lessons")
+    counted = both.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n"))
+    return materialize(counted, "words"), both.where(F.col("coded").isNotNull()).select("coded")
 
 
 def count_words(lessons: DataFrame) -> DataFrame:
@@ -258,6 +303,7 @@ class Statistics:
     column: np.ndarray  # node -> column of ``after``, or -1 where the previous subword makes no difference
     after: np.ndarray  # row, column -> log odds of side 1
     alone: np.ndarray  # node -> log odds of side 1 whatever went before
+    heavy: np.ndarray  # the nodes most often turned at, node 0 first
 
     def odds(self, before: np.ndarray, node: np.ndarray) -> np.ndarray:
         """Log odds of side 1 at nodes after the given ids."""
@@ -283,15 +329,15 @@ def _neighbours(size: int, context: np.ndarray, tokenizer: str):
     at[context] = np.arange(len(context))
 
     def run(it):
-        sums = np.zeros((size, len(context)), np.float32)
+        sums, one = np.zeros((size, len(context)), np.float32), np.float32(1)
+        flat = sums.ravel()
         for ids in (x[a : a + ROWS] for _, x in _held(it, tokenizer) for a in range(0, len(x), ROWS)):
-            row, _ = np.divmod(np.arange(ids.size), WINDOW)
-            near = np.zeros((len(ids), len(context)), np.float32)
-            seen = at[ids.ravel()]
-            near[row[seen >= 0], seen[seen >= 0]] = 1
-            order = np.argsort(ids.ravel(), kind="stable")
-            which, first = np.unique(ids.ravel()[order], return_index=True)
-            sums[which] += np.add.reduceat(near[row[order]], first, axis=0)
+            near = np.zeros((len(ids), len(context)), bool)
+            seen = at.take(ids)
+            row, place = np.nonzero(seen >= 0)
+            near[row, seen[row, place]] = True
+            row, met = np.nonzero(near)
+            np.add.at(flat, (ids.take(row, axis=0) * len(context) + met[:, None]).ravel(), one)
         i, c = np.nonzero(sums)
         for a in range(0, len(i), 100_000):
             x, y = i[a : a + 100_000], c[a : a + 100_000]
@@ -358,7 +404,55 @@ def statistics(counted: DataFrame, windows: DataFrame, tokenizer: str, frequent:
     prior[0] /= prior[0].sum()
     prior[1:] /= weight[~opening].sum()
     odds = np.log((sides[..., 1] + BACKOFF * prior[:, 1]) / (sides[..., 0] + BACKOFF * prior[:, 0]))
-    return Statistics(tree, place, column, odds.astype(np.float32), alone.astype(np.float32)), flat.astype(np.float32)
+    heavy = 1 + np.argsort(-turned[1:].sum(axis=1), kind="stable")[: DENSE - 1]
+    return Statistics(tree, place, column, odds.astype(np.float32), alone.astype(np.float32), np.concatenate(([0], heavy))), flat.astype(np.float32)
+
+
+class Ways:
+    """Ways to ids, dealt into turns at heavy nodes, as a matrix, and other turns, in a row; and the corpus's odds likewise."""
+
+    def __init__(self, s: Statistics, opened: bool):
+        """opened: the turn at node 0, whether a word begins, belongs to each way."""
+        tree = s.tree
+        self.place, self.nodes = s.place, s.heavy
+        rank = np.full(tree.nodes, -1, np.int32)
+        rank[s.heavy] = np.arange(len(s.heavy))
+        owner, rank = np.repeat(np.arange(len(tree.size)), tree.size), rank[tree.turns >> 1]
+        far, side = rank < 0, (2 * (tree.turns & 1) - 1).astype(np.int8)
+        #: id, heavy node -> 1 or -1 for the sides taken, 0 off the way.
+        self.sign = np.zeros((len(tree.size), len(s.heavy)), np.int8)
+        self.sign[owner[~far], rank[~far]] = side[~far]
+        if opened:
+            self.sign[:, 0] = np.where(tree.opening, 1, -1)
+        self.off = np.float32(math.log(2)) * (self.sign == 0).sum(axis=1).astype(np.float32)
+        self.turns, self.size = tree.turns[far], np.bincount(owner[far], minlength=len(tree.size)).astype(np.int32)
+        self.start = (np.cumsum(self.size) - self.size).astype(np.int32)
+        rows, width = s.after.shape
+        self.table = np.concatenate((s.after.ravel(), s.alone))
+        self.at = np.where(s.column >= 0, s.column, rows * width + np.arange(tree.nodes)).astype(np.int32)
+        self.step = np.where(s.column >= 0, width, 0).astype(np.int32)
+        self.near = self.odds(s.heavy, np.arange(rows, dtype=np.int32)[:, None])
+
+    def odds(self, node: np.ndarray, row: np.ndarray) -> np.ndarray:
+        return self.table.take(self.at.take(node) + self.step.take(node) * row, mode="clip")
+
+    def others(self, ids: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """The places by how many other turns they take; all first turns, then all second ones and so on, as nodes, signs and odds; and from where to where each layer lies, and its size."""
+        n = self.size.take(ids)
+        held = np.bincount(n)
+        most = (len(ids) - np.cumsum(held)[:-1]).tolist()
+        order = np.argsort((len(held) - n).astype(np.uint16), kind="stable")
+        first, row = self.start.take(ids.take(order)), row.take(order)
+        stops = list(itertools.accumulate(most, initial=0))
+        turns = self.turns.take(deep(first, most, range(len(most))))
+        node = turns >> 1
+        return order, node, (2 * (turns & 1) - 1).astype(np.float32), self.odds(node, deep(row, most, itertools.repeat(0))), list(zip(stops, stops[1:], most, strict=False))
+
+
+def deep(x: np.ndarray, most: list[int], plus: Iterable[int]) -> np.ndarray:
+    """The first values of ``x``, so many for each layer, and so much more."""
+    layers = [x[:m] + k for m, k in zip(most, plus, strict=False)]
+    return np.concatenate(layers) if layers else x[:0]
 
 
 # ---------------------------------------------------------------- the network
@@ -390,10 +484,10 @@ class Network:
     def attend(self, ids: np.ndarray):
         """Hidden states of windows of ids, by masked attention."""
         w = self.w
-        x = w["e"][ids] + w["p"]
+        x = w["e"].take(ids, axis=0) + w["p"]
         flat = x.reshape(-1, WIDTH) @ np.hstack((w["q"] * np.float32(1 / math.sqrt(WIDTH)), w["k"], w["v"]))
         q, k, v = (flat[:, a : a + WIDTH].reshape(x.shape) for a in (0, WIDTH, 2 * WIDTH))
-        a = np.matmul(q, k.transpose(0, 2, 1))
+        a = np.matmul(q, np.ascontiguousarray(k.transpose(0, 2, 1)))  # BLAS takes no transposed stack on that side
         np.exp(np.minimum(a, 30, out=a), out=a)
         a *= _MASK
         a /= (a.reshape(-1, WINDOW) @ _ONES + np.float32(1e-30)).reshape(*a.shape[:2], 1)
@@ -406,8 +500,8 @@ class Network:
         ``real``: places that count (all).
         Gradients of e and n are (rows, values) of the rows met.
         """
-        w = self.w
-        x, q, k, v, a, h = self.attend(ids)
+        w, held = self.w, self.attend(ids)
+        h = held[-1]
         flat, node, side = h.reshape(-1, WIDTH), turns >> 1, (turns & 1).astype(np.float32)
         vectors, states = w["n"].take(node, axis=0), flat.take(which, axis=0)
         z = odds + np.einsum("ij,ij->i", vectors, states)
@@ -423,18 +517,57 @@ class Network:
         vectors *= d_z
         states *= d_z
         d_h = np.add.reduceat(vectors, first, axis=0).reshape(h.shape)
-        grads = {"n": _by_row(node, states)}
-        d_a = np.matmul(d_h, v.transpose(0, 2, 1))
-        d_v = np.matmul(a.transpose(0, 2, 1), d_h)
-        d_s = a * (d_a - (d_a * a).sum(axis=2, keepdims=True)) * np.float32(1 / math.sqrt(WIDTH))
-        d_q, d_k = np.matmul(d_s, k), np.matmul(d_s.transpose(0, 2, 1), q) * np.float32(math.sqrt(WIDTH))
-        x2, d_x = x.reshape(-1, WIDTH), d_h
-        for name, d in (("q", d_q), ("k", d_k), ("v", d_v)):
-            grads[name] = x2.T @ d.reshape(-1, WIDTH)
-            d_x = d_x + d @ w[name].T
-        grads["p"] = d_x.sum(axis=0)
-        grads["e"] = _by_row(ids.ravel(), d_x.reshape(-1, WIDTH))
-        return float(loss), grads
+        return float(loss), {"n": _by_row(node, states)} | self.back(ids, held, d_h)
+
+    def back(self, ids: np.ndarray, held, d_h: np.ndarray) -> dict:
+        """Gradients of all but n from those of the states; ``held``: what attention gave."""
+        w, (x, q, k, v, a, _) = self.w, held
+        d_a, d_v = np.matmul(d_h, np.ascontiguousarray(v.transpose(0, 2, 1))), np.matmul(a.transpose(0, 2, 1), d_h)
+        d_a -= np.einsum("bij,bij->bi", d_a, a)[..., None]
+        d_a *= a
+        x, d_x, grads = x.reshape(-1, WIDTH), d_h.reshape(-1, WIDTH), {}
+        # q is held scaled, so the scale of the products is left to that of its own gradient.
+        for name, d, scale in (("q", np.matmul(d_a, k), np.float32(1 / math.sqrt(WIDTH))), ("k", np.matmul(d_a.transpose(0, 2, 1), q), np.float32(1)), ("v", d_v, np.float32(1))):
+            flat = d.reshape(-1, WIDTH)
+            grads[name] = x.T @ flat * scale
+            d_x = d_x + flat @ (w[name].T * scale)
+        return grads | {"p": d_x.reshape(len(ids), -1).sum(axis=0).reshape(WINDOW, WIDTH), "e": _by_row(ids.ravel(), d_x)}
+
+    def turn(self, ways: Ways, h: np.ndarray, ids: np.ndarray, before: np.ndarray) -> tuple[float, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+        """What ``step`` makes of states, as loss, gradients of the states, and rows and gradients of n met, for the whole ways to ``ids``."""
+        n, row, heavy, count = self.w["n"], ways.place.take(before), self.w["n"].take(ways.nodes, axis=0), np.float32(max(1, len(ids)))
+        # By how much the side taken is likelier; then the odds of the other side.
+        sign = ways.sign.take(ids, axis=0)
+        met, sign = np.bitwise_or.reduce(sign, axis=0) != 0, sign.astype(np.float32)
+        z = h @ heavy.T
+        z += ways.near.take(row, axis=0)
+        z *= sign
+        _odds_against(z)
+        loss = np.log1p(z).sum(dtype=np.float64) - ways.off.take(ids).sum(dtype=np.float64)
+        z /= 1 + z
+        z *= sign
+        z *= -1 / count
+        d_h, d_heavy = z @ heavy, z.T @ h
+
+        order, node, sign, d_z, layers = ways.others(ids, row)
+        sorted_h, vectors, dots = h.take(order, axis=0), n.take(node, axis=0), np.empty(len(node), np.float32)
+        for a, b, m in layers:
+            np.einsum("ij,ij->i", vectors[a:b], sorted_h[:m], out=dots[a:b])
+        d_z += dots
+        d_z *= sign
+        _odds_against(d_z)
+        loss += np.log1p(d_z).sum(dtype=np.float64)
+        d_z /= 1 + d_z
+        d_z *= sign
+        d_z *= -1 / count
+        vectors *= d_z[:, None]
+        d_far, states = np.zeros_like(h), np.empty_like(vectors)
+        for a, b, m in layers:
+            d_far[:m] += vectors[a:b]
+            np.multiply(sorted_h[:m], d_z[a:b, None], out=states[a:b])
+        d_h[order] += d_far
+        rows, values = _by_row(node, states)
+        return float(loss / count), d_h, (np.concatenate((ways.nodes[met], rows)), np.concatenate((d_heavy[met], values)))
 
     def fit(self, s: Statistics, before: np.ndarray, ids: np.ndarray, rate: float = RATE, batch: int = BATCH) -> tuple[list[float], dict[str, np.ndarray]]:
         """One pass over windows of ids with those before them; the losses, and how often each row of e and n was met."""
@@ -445,29 +578,30 @@ class Network:
         """One pass over all that ``held`` yields, by Adagrad with one scale a row; the losses, how often each row of e and n was met, and the number of windows."""
         rng, losses, n = np.random.default_rng(5), [], 0
         scale = {name: np.full((len(x), 1) if name in "en" else x.shape, 1e-8, np.float32) for name, x in self.w.items()}
-        met = {name: np.zeros(len(self.w[name])) for name in "en"}
+        met, ways = {name: np.zeros(len(self.w[name])) for name in "en"}, Ways(s, opened=True)
         for before, ids in _regrouped(held, SHUFFLED):
             order, n = rng.permutation(len(ids)), n + len(ids)
             for a in range(0, len(order), batch):
                 own = order[a : a + batch]
-                losses.append(self._learn(s, before[own], ids[own], rate, scale, met))
+                losses.append(self._learn(ways, before.take(own, axis=0), ids.take(own, axis=0), rate, scale, met))
         return losses, met, n
 
-    def _learn(self, s: Statistics, before, ids, rate, scale, met) -> float:
-        turns, first = s.tree.ways(ids.ravel())
-        # Node 0 stands before each way.
-        which = np.repeat(np.arange(ids.size), np.diff(first, append=len(turns)) + 1)
-        whole = np.empty(len(turns) + ids.size, np.int64)
-        heads = first + np.arange(ids.size)
-        rest = np.ones(len(whole), bool)
-        rest[heads] = False
-        whole[heads], whole[rest] = s.tree.opening[ids.ravel()], turns
-        loss, grads = self.step(before, whole, heads, which, s.odds(before.ravel()[which], whole >> 1), counting(before, ids, len(s.tree.size) - 1))
+    def _learn(self, ways: Ways, before, ids, rate, scale, met) -> float:
+        held = self.attend(before)
+        # What stands in front of a text is seen but not predicted.
+        real = np.flatnonzero(counting(before, ids, len(ways.size) - 1))
+        loss, d_real, rows = self.turn(ways, held[-1].reshape(-1, WIDTH).take(real, axis=0), ids.ravel().take(real), before.ravel().take(real))
+        d_h = np.zeros_like(held[-1])
+        d_h.reshape(-1, WIDTH)[real] = d_real
+        grads = {"n": rows} | self.back(before, held, d_h)
         for name, gr in grads.items():
             if name in "en":
                 rows, values = gr
-                scale[name][rows] += np.square(values).mean(axis=1, keepdims=True)
-                self.w[name][rows] -= rate * values / np.sqrt(scale[name][rows])
+                sums = scale[name].take(rows, axis=0) + np.einsum("ij,ij->i", values, values)[:, None] / np.float32(WIDTH)
+                scale[name][rows] = sums
+                values *= np.float32(-rate) / np.sqrt(sums)
+                values += self.w[name].take(rows, axis=0)
+                self.w[name][rows] = values
                 met[name][rows] += 1
             else:
                 scale[name] += np.square(gr)
@@ -475,6 +609,12 @@ class Network:
         return loss
 
 
+def _odds_against(z: np.ndarray) -> None:
+    """Odds against, from log odds for, in place."""
+    np.clip(z, -30, 30, out=z)
+    np.exp(np.negative(z, out=z), out=z)
+
+
 def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows and the sums of their values."""
     if int(rows.max(initial=0)) < 1 << 16:
@@ -571,47 +711,48 @@ def repeats(c: Coded) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 class Scorer:
     def __init__(self, stats: Statistics, network: Network, ids: Ids):
         self.stats, self.network, self.ids = stats, network, ids
-        # By turn: the vector that makes the other side likelier, and where the corpus's odds for that side stand in one long
-        # table: after any previous id at ``at``, after a frequent one ``step`` times its row further on.
-        n, sign = network.w["n"], np.float32([1, -1])
-        self.against = np.ascontiguousarray((n[:, None, :] * sign[:, None]).reshape(-1, WIDTH))
-        rows, width = len(stats.after), 2 * stats.after.shape[1]
-        self.odds = np.concatenate(((stats.after[:, :, None] * sign).ravel(), (stats.alone[:, None] * sign).ravel()))
-        column = np.repeat(stats.column, 2)
-        own = np.arange(len(column))
-        self.at = np.where(column >= 0, 2 * column + own % 2, rows * width + own).astype(np.int32)
-        self.step = np.where(column >= 0, width, 0).astype(np.int32)
-
-    def each(self, out: np.ndarray, ends: np.ndarray, most: int = 192) -> tuple[np.ndarray, np.ndarray]:
+        self.ways = Ways(stats, opened=False)
+
+    def each(self, out: np.ndarray, ends: np.ndarray, windows: int = 192) -> tuple[np.ndarray, np.ndarray]:
         """For each id: its log probability given whether a word begins there, and the odds against that one does."""
         s, before = self.stats, inputs(out, ends, self.ids.end)
         lengths = np.diff(np.concatenate(([0], ends)))
         first, text = layout(lengths)
-        places = s.place[before]
+        ways, n = self.ways, self.network.w["n"]
+        heavy, places, ones = n.take(ways.nodes, axis=0).T, s.place[before], np.ones((len(ways.nodes), 1), np.float32)
         prob, shut = np.empty(len(out), np.float32), np.empty(len(out), np.float32)
-        root, done = self.network.w["n"][0], 0
+        done = 0
         stops = np.minimum(first + WINDOW, lengths[text]) + (ends - lengths)[text]
-        for at in range(0, len(first), most):
-            f, t = first[at : at + most], text[at : at + most]
+        for block in range(0, len(first), windows):
+            f, t = first[block : block + windows], text[block : block + windows]
             where = ((ends - lengths)[t] + f)[:, None] + np.arange(WINDOW)
             seen = before.take(where, mode="clip")
             seen[f < 0, :OVERLAP] = self.ids.end  # before a text there is its start only
             h = self.network.attend(seen)[-1][:, OVERLAP:].reshape(-1, WIDTH)
             # The ids that windows are to score follow one another; only a text's last window scores fewer.
-            end = int(stops[min(at + most, len(first)) - 1])
+            end = int(stops[min(block + windows, len(first)) - 1])
             inside = (where[:, OVERLAP:] < ends[t][:, None]).ravel()
             if not inside.all():
                 h = h[inside]
             own = slice(done, end)
             row, ids, done = places[own], out[own], end
-            shut[own] = -s.after[row, 0] - h @ root
-            turns, begin = s.tree.ways(ids)
-            which = np.repeat(np.arange(len(ids), dtype=np.int32), s.tree.size[ids])
-            z = np.einsum("ij,ij->i", self.against.take(turns, axis=0, mode="clip"), h.take(which, axis=0, mode="clip"))
-            z += self.odds.take(self.at.take(turns, mode="clip") + self.step.take(turns, mode="clip") * row.take(which, mode="clip"), mode="clip")
-            np.log1p(np.exp(np.clip(z, -60, 60, out=z), out=z), out=z)
-            sums = np.add.reduceat(np.append(z, np.float32(0)), begin)
-            sums[s.tree.size[ids] == 0] = 0
+            z = h @ heavy
+            z += ways.near.take(row, axis=0)
+            shut[own] = -z[:, 0]
+            z *= ways.sign.take(ids, axis=0)
+            np.log1p(np.exp(np.negative(np.clip(z, -60, 60, out=z), out=z), out=z), out=z)
+            sums = (z @ ones)[:, 0] - ways.off.take(ids)
+            order, node, sign, z, layers = ways.others(ids, row)
+            vectors, sorted_h, dots = n.take(node, axis=0), h.take(order, axis=0), np.empty(len(node), np.float32)
+            for a, b, m in layers:
+                np.einsum("ij,ij->i", vectors[a:b], sorted_h[:m], out=dots[a:b])
+            z += dots
+            z *= sign
+            np.log1p(np.exp(np.negative(np.clip(z, -60, 60, out=z), out=z), out=z), out=z)
+            rest = np.zeros(len(ids), np.float32)
+            for a, b, m in layers:
+                rest[:m] += z[a:b]
+            sums[order] += rest
             prob[own] = -sums
         return prob.astype(np.float64), np.exp(np.clip(shut.astype(np.float64), -60, 60))
 
@@ -663,12 +804,16 @@ def whole_windows(out: np.ndarray, ends: np.ndarray, end: int) -> tuple[np.ndarr
 
 
 def _held(it, tokenizer: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Windows of batches of texts, or of those that a table of windows holds."""
+    """Windows of batches of texts, or of those that a table of windows holds, coded together or one a row."""
     for b in batches(it, PIECE):
         if "text" in b.schema.names:
             ids = ids_for(tokenizer)
             c = coded(b.column("text"), ids)
             yield whole_windows(c.out, c.ends, ids.end)
+        elif "coded" in b.schema.names:
+            kind = id_kind(ids_for(tokenizer).end)
+            rows = [np.frombuffer(x, kind) for x in b.column("coded").to_pylist()]
+            yield tuple(np.concatenate([r[own] for r in rows]).reshape(-1, WINDOW).astype(np.int64) for own in (slice(None, -1), slice(1, None)))
         else:
             yield tuple(np.frombuffer(b"".join(b.column(k).to_pylist()), "<u4").reshape(-1, WINDOW).astype(np.int64) for k in ("before", "ids"))
 
@@ -751,7 +896,7 @@ def _trainer(shared, rate: float, tokenizer: str):
 def fit_together(windows: DataFrame, stats: Statistics, network: Network, rounds: int = ROUNDS, most: int | None = None, tokenizer: str = "") -> Network:
     """The network after ``rounds`` passes over all windows, each the average of independent trainers.
 
-    windows: the windows themselves, or the texts they are cut from (``text``, with ``tokenizer``).  Each part of the table is one
+    windows: the windows themselves (``coded`` together with ``tokenizer``), or the texts they are cut from (``text``, likewise).  Each part of the table is one
     trainer's; with ``most`` the windows are dealt by their numbers to trainers of about so many.
     """
     spark = windows.sparkSession
@@ -774,9 +919,9 @@ def train(docs: DataFrame, tokenizer: str) -> tuple[DataFrame, Statistics, Netwo
     """docs: doc_id, text.  The table of word counts, the corpus statistics and the trained network."""
     tune(docs.sparkSession)
     lessons = docs.where(F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT)).select("doc_id", "text")
-    counted, texts = count_words(lessons), lessons.select("text")
-    stats, vectors = statistics(counted, texts, tokenizer)
-    return counted, stats, fit_together(texts, stats, Network(vectors, stats.tree.nodes), tokenizer=tokenizer)
+    counted, windows = read_once(lessons, tokenizer)
+    stats, vectors = statistics(counted, windows, tokenizer)
+    return counted, stats, fit_together(windows, stats, Network(vectors, stats.tree.nodes), tokenizer=tokenizer)
 
 
 def score_documents(docs: DataFrame, counted: DataFrame, stats: Statistics, network: Network, tokenizer: str) -> DataFrame:
